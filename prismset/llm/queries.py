@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from prismset.llm import exactdedup
+from prismset.llm import exactdedup, simhash
 
-QUERIES = {"op9_exact_dedup": exactdedup.op9_exact_dedup}
+QUERIES = {
+    "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
+    "op9_exact_dedup": exactdedup.op9_exact_dedup,
+}
 ORACLES = {"op9_exact_dedup": exactdedup.OP9_SQL}
