@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from prismset.llm import exactdedup, simhash
+from prismset.llm import exactdedup, mixing, simhash
 
 QUERIES = {
+    "op2_mix_sources": mixing.op2_mix_sources,
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
     "op9_exact_dedup": exactdedup.op9_exact_dedup,
 }
-ORACLES = {"op9_exact_dedup": exactdedup.OP9_SQL}
+ORACLES = {
+    "op2_mix_sources": mixing.OP2_SQL,
+    "op9_exact_dedup": exactdedup.OP9_SQL,
+}
