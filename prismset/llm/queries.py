@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from prismset.llm import exactdedup, mixing, simhash
+from prismset.llm import exactdedup, mixing, ppm, quality, simhash
 
 QUERIES = {
     "op2_mix_sources": mixing.op2_mix_sources,
+    "op6_quality": quality.op6_quality,
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
     "op9_exact_dedup": exactdedup.op9_exact_dedup,
+    "op10_lm_scores": ppm.op10_lm_scores,
 }
 ORACLES = {
     "op2_mix_sources": mixing.OP2_SQL,
