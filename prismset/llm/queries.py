@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from prismset.llm import exactdedup, mixing, ppm, quality, simhash
+from prismset.llm import embeddings, exactdedup, mixing, ppm, quality, simhash
 
 QUERIES = {
+    "op1_near_embeddings": embeddings.op1_near_embeddings,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op6_quality": quality.op6_quality,
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
