@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from prismset.llm import embeddings, exactdedup, langid, mixing, packing, ppm, quality, simhash
+from prismset.llm import chat, embeddings, exactdedup, langid, mixing, packing, ppm, quality, simhash
 
 QUERIES = {
     "op1_near_embeddings": embeddings.op1_near_embeddings,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op3_language_id": langid.op3_language_id,
+    "op4_chat_perspectives": chat.op4_chat_perspectives,
     "op5_packing": packing.op5_packing,
     "op6_quality": quality.op6_quality,
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
@@ -16,5 +17,6 @@ QUERIES = {
 }
 ORACLES = {
     "op2_mix_sources": mixing.OP2_SQL,
+    "op4_chat_perspectives": chat.OP4_SQL,
     "op9_exact_dedup": exactdedup.OP9_SQL,
 }
