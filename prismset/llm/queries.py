@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from prismset.llm import chat, embeddings, exactdedup, langid, mixing, packing, ppm, quality, simhash
+from prismset.llm import chat, embeddings, exactdedup, langid, linededup, mixing, packing, ppm, quality, simhash
 
 QUERIES = {
     "op1_near_embeddings": embeddings.op1_near_embeddings,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_chat_perspectives": chat.op4_chat_perspectives,
     "op5_packing": packing.op5_packing,
     "op6_quality": quality.op6_quality,
+    "op7_line_dedup": linededup.op7_line_dedup,
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
     "op9_exact_dedup": exactdedup.op9_exact_dedup,
     "op10_lm_scores": ppm.op10_lm_scores,
