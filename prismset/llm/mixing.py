@@ -93,25 +93,34 @@ def _seats(parties: DataFrame, by: str, key: str) -> DataFrame:
     return span.alias("s").join(won.alias("w"), on, "left").select("s.source", *([] if key == "source" else [f"s.{key}"]), (F.col("s.low") + F.coalesce("w.more", F.lit(0))).alias("seats"))
 
 
-def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = SEED) -> DataFrame:
-    """One row per input row: doc_id, source, size, source_size, target, taken.
+def _placed(df: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], share: float, most: int, seed: int, whole_rows: bool) -> DataFrame:
+    """Rows (row, doc_id, source, size, block, source_size, target, start, whole, blocks, extra, turn).
 
-    ``size`` counts the words of the text (0 for null); ``target`` is the source's
-    share of the budget; ``taken`` the words the mix reads of this document,
-    repeats counted, never over ``most`` times its size. A null source is a source
-    of its own, last in order. A null id is ordered as the empty text; repeated
-    rows are rows like others. An empty table gives an empty result, a table
-    without words takes none. Reruns agree whatever the partitioning.
+    ``row`` holds all columns of ``df`` if ``whole_rows``. In its shard, ordered by a seeded key, a
+    document covers the words from ``start``; the shard is read ``whole`` times
+    and once more in those of its ``blocks`` that ``turn`` and ``extra`` select.
     """
     spark = df.sparkSession
-    docs = materialize(
-        df.select(
+
+    def sized(row: list) -> DataFrame:
+        return df.select(
+            *row,
             F.col(id_col).cast("long").alias("doc_id"),
             F.col(source_col).alias("source"),
             F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD_RE)), F.lit(0)).cast("long").alias("size"),
-        ).withColumn("key", F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))),
-        "sizes",
-    )
+        ).withColumn("key", F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+
+    def place(docs: DataFrame) -> DataFrame:
+        return spark.sql(
+            """
+            SELECT d.*, s.block, s.source_size, s.target, s.quota, CAST(conv(substr(d.key, 1, 8), 16, 10) AS BIGINT) % s.shards AS shard
+            FROM {d} d JOIN {s} s ON d.source <=> s.source
+            """,
+            d=docs,
+            s=sources,
+        )
+
+    docs = materialize(sized([]), "sizes")
     sources = targets(docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows")), weights, share, most)
     sources = spark.sql(
         f"""
@@ -122,16 +131,8 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     )
     sources = materialize(sources, "sources")
     quota = _seats(sources.select("source", F.col("target").alias("share"), F.floor(F.col("all_target") / F.col("block") + 0.5).alias("n")), "", "source")
-    sources = sources.alias("s").join(quota.alias("q"), F.col("s.source").eqNullSafe(F.col("q.source")), "left").select("s.*", F.coalesce("q.seats", F.lit(0)).alias("quota"))
-    placed = spark.sql(
-        """
-        SELECT d.*, s.block, s.source_size, s.target, s.quota, CAST(conv(substr(d.key, 1, 8), 16, 10) AS BIGINT) % s.shards AS shard
-        FROM {d} d JOIN {s} s ON d.source <=> s.source
-        """,
-        d=docs,
-        s=sources,
-    )
-    shards = placed.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"), F.first("quota").alias("n"), F.first("block").alias("block"))
+    sources = materialize(sources.alias("s").join(quota.alias("q"), F.col("s.source").eqNullSafe(F.col("q.source")), "left").select("s.*", F.coalesce("q.seats", F.lit(0)).alias("quota")), "quota")
+    shards = place(docs).groupBy("source", "shard").agg(F.sum("size").alias("shard_size"), F.min("quota").alias("n"), F.min("block").alias("block"))
     seats = _seats(shards.select("source", "shard", F.col("shard_size").cast("double").alias("share"), "n"), "PARTITION BY source", "shard")
     plan = spark.sql(
         f"""
@@ -143,19 +144,66 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
         h=shards,
         e=seats,
     )
+    full = sized([F.struct("*").alias("row")]) if whole_rows else docs
     return spark.sql(
-        f"""
-        SELECT doc_id, source, size, source_size, target,
-               coalesce(whole * size + CASE WHEN size = 0 THEN 0 ELSE
-                 aggregate(sequence(start div block, (start + size - 1) div block), 0L, (a, j) -> a +
-                   CASE WHEN (j * {STEP} + turn) % blocks < extra THEN least(start + size, (j + 1) * block) - greatest(start, j * block) ELSE 0L END) END, 0L) AS taken
-        FROM (SELECT p.*, l.whole, l.blocks, l.extra, l.turn
-              FROM (SELECT *, sum(size) OVER (PARTITION BY source, shard ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS start FROM {{p}}) p
-              LEFT JOIN {{l}} l ON p.source <=> l.source AND p.shard = l.shard)
+        """
+        SELECT p.*, l.whole, l.blocks, l.extra, l.turn
+        FROM (SELECT *, sum(size) OVER (PARTITION BY source, shard ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS start FROM {p}) p
+        LEFT JOIN {l} l ON p.source <=> l.source AND p.shard = l.shard
         """,
-        p=placed,
-        l=plan,
+        p=place(full),
+        l=materialize(plan, "plan"),
+    )
+
+
+def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = SEED) -> DataFrame:
+    """One row per input row: doc_id, source, size, source_size, target, taken.
+
+    ``size`` counts the words of the text (0 for null); ``target`` is the source's
+    share of the budget; ``taken`` the words the mix reads of this document,
+    repeats counted, never over ``most`` times its size. A null source is a source
+    of its own, last in order. A null id is ordered as the empty text; repeated
+    rows are rows like others. An empty table gives an empty result, a table
+    without words takes none. Reruns agree whatever the partitioning.
+    """
+    return _placed(df, id_col, text_col, source_col, weights, share, most, seed, False).selectExpr(
+        "doc_id",
+        "source",
+        "size",
+        "source_size",
+        "target",
+        f"""coalesce(whole * size + CASE WHEN size = 0 THEN 0 ELSE
+              aggregate(sequence(start div block, (start + size - 1) div block), 0L, (a, j) -> a +
+                CASE WHEN (j * {STEP} + turn) % blocks < extra THEN least(start + size, (j + 1) * block) - greatest(start, j * block) ELSE 0L END) END, 0L) AS taken""",
+    )
+
+
+def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str | None = "n_chars", weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = SEED) -> DataFrame:
+    """The mix itself, in the columns of ``df``: the rows of ``mix`` put into effect.
+
+    A document appears once for every whole pass over its shard and once more
+    with the words of its selected blocks, with the white space that follows them
+    (``length_col``, if ``df`` has it, then counts that text). Documents of which
+    nothing is taken are left out, those without words too.
+    """
+    rows = _placed(df, id_col, text_col, source_col, weights, share, most, seed, True).where("size > 0")
+    # a word with the white space after it; white space before the first word goes with it
+    rows = rows.selectExpr(
+        "row",
+        "whole",
+        f"""filter(transform(sequence(start div block, (start + size - 1) div block), j -> struct(
+              greatest(start, j * block) - start AS low, least(start + size, (j + 1) * block) - start AS high, (j * {STEP} + turn) % blocks < extra AS chosen)),
+            x -> x.chosen) AS cuts""",
     )
+    words = rf"split(regexp_replace(row.`{text_col}`, '^[\\x20\\x09-\\x0D]+', ''), '(?<=[\\x20\\x09-\\x0D])(?=[^\\x20\\x09-\\x0D])')"
+    part = rf"array_join(flatten(transform(cuts, x -> slice(words, CAST(x.low + 1 AS INT), CAST(x.high - x.low AS INT)))), '')"
+    rows = rows.selectExpr("row", "explode(concat(array_repeat(cast(null as array<struct<low:bigint,high:bigint,chosen:boolean>>), cast(whole as int)), CASE WHEN size(cuts) > 0 THEN array(cuts) ELSE array() END)) AS cuts")
+    rows = rows.selectExpr("row", "cuts", f"CASE WHEN cuts IS NOT NULL THEN {words} END AS words").selectExpr("row", f"CASE WHEN cuts IS NULL THEN row.`{text_col}` ELSE {part} END AS part")
+    cols = []
+    for c in df.columns:
+        x = F.col("row").getField(c)
+        cols.append((F.col("part") if c == text_col else F.length("part").cast(df.schema[c].dataType) if c == length_col else x).alias(c))
+    return rows.select(*cols)
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

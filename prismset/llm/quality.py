@@ -100,6 +100,20 @@ def fit(x: np.ndarray, y: np.ndarray, share: np.ndarray, pairs: int = PAIRS, ste
     return w, float(cut + x.mean(axis=0) @ w)
 
 
+def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", folds: int = 3, held: int = 1, sample: int = SAMPLE_PER_CLASS) -> tuple[np.ndarray, float]:
+    """Weights and threshold learned from the labelled rows of (doc_id, text as bytes)."""
+    known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(F.col("label").isin(0, 1) & (id_hash(F.col("doc_id")) % folds != held))
+    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
+    picked = None
+    for k in (0, 1):
+        one = known.where(F.col("label") == k).orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(sample)
+        picked = one if picked is None else picked.unionByName(one)
+    got = docs.join(F.broadcast(picked), "doc_id").select("label", "doc_id", "text").mapInArrow(_features, "label int, doc_id long, x array<double>").orderBy("doc_id", "label").toPandas()  # at most 2 * sample ids
+    x = np.array(got["x"].tolist(), dtype=np.float64)
+    share = np.array([counts.get(0, 0), counts.get(1, 0)], float)
+    return fit(x, got["label"].to_numpy(), share / max(1.0, share.sum()))
+
+
 def score_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", folds: int = 3, held: int = 1, sample: int = SAMPLE_PER_CLASS) -> DataFrame:
     """One row per input row: doc_id, held_out, score (0 to 1), predicted (0 or 1).
 
@@ -109,16 +123,7 @@ def score_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     score is 0.5. Repeated rows are scored alike; an empty table gives none.
     """
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(F.col("label").isin(0, 1) & (id_hash(F.col("doc_id")) % folds != held))
-    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
-    picked = None
-    for k in (0, 1):
-        one = known.where(F.col("label") == k).orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(sample)
-        picked = one if picked is None else picked.unionByName(one)
-    got = docs.join(F.broadcast(picked), "doc_id").select("label", "doc_id", "text").mapInArrow(_features, "label int, doc_id long, x array<double>").orderBy("doc_id", "label").toPandas()  # at most 2 * sample rows
-    x = np.array(got["x"].tolist(), dtype=np.float64)
-    share = np.array([counts.get(0, 0), counts.get(1, 0)], float)
-    w, cut = fit(x, got["label"].to_numpy(), share / max(1.0, share.sum()))
+    w, cut = fit_quality(docs, labels, id_col, label_col, folds, held, sample)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lut = _byte_classes()
@@ -128,7 +133,21 @@ def score_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p)], ["doc_id", "score"])
 
     out = docs.mapInArrow(score, "doc_id long, score double")
-    return out.select("doc_id", (id_hash(F.col("doc_id")) % folds == held).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+    return out.select("doc_id", (F.coalesce(id_hash(F.col("doc_id")), F.lit(-1)) % folds == held).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def keep_good(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", folds: int = 3, held: int = 1) -> DataFrame:
+    """The rows of ``df``, all columns, that ``score_quality`` predicts as 1; no row moves."""
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    w, cut = fit_quality(docs, labels, id_col, label_col, folds, held)
+    at = df.columns.index(text_col)
+
+    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lut = _byte_classes()
+        for b in batches:
+            yield b.filter(pa.array([features((t.as_py() or "").encode(), lut) @ w >= cut for t in b.column(at)], pa.bool_()))
+
+    return df.mapInArrow(good, df.schema)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
