@@ -33,7 +33,9 @@ CLASSES = 32
 DEPTH = 4
 #: Tokens of a buffer, and words whose ids a worker remembers (twice over).
 BUFFER_TOKENS = 3_000_000
-WORDS_HELD = 150_000
+#: ASCII marks that never join a letter or digit before them in one token.
+MARKS = b".,;:!?*$%&#|"
+WORDS_HELD = 400_000
 
 
 def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -135,8 +137,8 @@ def plan(lengths: list[int], window: int = WINDOW, tail: bool = True) -> tuple[l
 class WordIds(dict):
     """Token ids (little-endian unsigned 32-bit) of words, remembered in two generations.
 
-    The tokenizer never joins text across ASCII white space, so a text's ids are
-    those of its words, one after the other.
+    The tokenizer lower-cases and never joins text across ASCII white space, so a
+    text's ids are those of its lower-cased words, one after the other.
     """
 
     def __init__(self, path: str) -> None:
@@ -150,6 +152,9 @@ class WordIds(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.old.get(word)
+        core = word.rstrip(MARKS)
+        if ids is None and core != word and core[-1:].isalnum():  # the marks are a token run of their own
+            ids = self[core] + self[word[len(core) :]]
         if ids is None:
             ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
         self[word] = ids
@@ -159,7 +164,7 @@ class WordIds(dict):
         if len(self) > WORDS_HELD:
             self.old = dict(self)
             self.clear()
-        return b"".join(map(self.__getitem__, text.split())) + end
+        return b"".join(map(self.__getitem__, text.lower().split())) + end
 
 
 def default_tokenizer() -> str:
