@@ -13,6 +13,7 @@ at powers of two, so nothing is padded.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from itertools import combinations_with_replacement
@@ -149,6 +150,9 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.old: dict[bytes, bytes] = {}
+        # the byte-level alphabet: printable Latin-1 characters stand for themselves, other bytes follow from U+0100
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        self.letters = {b: chr(0x100 + k) for k, b in enumerate(b for b in range(256) if b not in plain)}
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.old.get(word)
@@ -156,10 +160,16 @@ class WordIds(dict):
         if ids is None and core != word and core[-1:].isalnum():  # the marks are a token run of their own
             ids = self[core] + self[word[len(core) :]]
         if ids is None:
-            ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+            ids = np.array(self._encode(word.decode("utf-8", "replace")), "<u4").tobytes()
         self[word] = ids
         return ids
 
+    def _encode(self, word: str) -> list[int]:
+        """A composed word of Latin letters is one run of letters: the model alone does."""
+        if word.isalpha() and max(word) < "\u0250" and word == word.lower() and unicodedata.is_normalized("NFC", word):
+            return [t.id for t in self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
     def text(self, text: bytes, end: bytes) -> bytes:
         if len(self) > WORDS_HELD:
             self.old = dict(self)
