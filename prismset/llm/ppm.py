@@ -251,13 +251,13 @@ def _counts(codes: DataFrame, order: int, max_nodes: int) -> list[tuple[np.ndarr
         mask = (1 << 8 * (j + 1)) - 1
         levels[j] = levels[j + 1].groupBy(F.col("code").bitwiseAND(F.lit(mask)).alias("code")).agg(F.sum("n").alias("n"))
     sizes = materialize(levels[0].select(F.lit(0).alias("j"), "code", "n").unionByName(_union([levels[j].select(F.lit(j).alias("j"), "code", "n") for j in range(1, order + 1)])) if order else levels[0].select(F.lit(0).alias("j"), "code", "n"), "trie")
-    spread = sizes.groupBy("j", F.least("n", F.lit(4096)).alias("n")).agg(F.count("*").alias("m")).toPandas()  # at most 4096 rows an order
+    spread = sizes.groupBy("j", F.least("n", F.lit(4096)).alias("n")).agg(F.count("*").alias("m")).toArrow().to_pandas()  # at most 4096 rows an order
     least = 1
     for _, one in spread.groupby("j"):
         one = one.sort_values("n", ascending=False)
         over = one[one["m"].cumsum() > max_nodes]
         least = max([least, *(int(x) + 1 for x in over["n"].head(1))])
-    kept = sizes.where(F.col("n") >= least).toPandas() if least <= 4096 else sizes.where(F.col("n") >= least).orderBy(F.desc("n"), "j", "code").limit(max_nodes).toPandas()
+    kept = sizes.where(F.col("n") >= least).toArrow().to_pandas() if least <= 4096 else sizes.where(F.col("n") >= least).orderBy(F.desc("n"), "j", "code").limit(max_nodes).toArrow().to_pandas()
     out = []
     for j in range(order + 1):
         one = kept[kept["j"] == j]
@@ -292,7 +292,7 @@ def lm_score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
     words = materialize(partial.where("word is not null").groupBy("word").agg(F.sum("n").alias("c")), "words")
     codes = partial.where("code is not null").groupBy("code").agg(F.sum("n").alias("n"))
     total, kinds = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    hot = words.orderBy(F.desc("c"), "word").limit(hot_words).toPandas()  # bounded by hot_words
+    hot = words.orderBy(F.desc("c"), "word").limit(hot_words).toArrow().to_pandas()  # bounded by hot_words
     trie = spark.sparkContext.broadcast(build(_counts(codes, order, max_nodes), order))  # bounded by max_nodes
     known = spark.sparkContext.broadcast(dict(zip(hot["word"].map(bytes), hot["c"].tolist(), strict=True)))
     full = total + 0.1 * (kinds + 1)
