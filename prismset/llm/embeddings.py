@@ -164,7 +164,7 @@ def near_embeddings(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     rows = rows.withColumn("ok", F.coalesce(F.col("vec_id").isNotNull() & (F.size("v") > 0) & F.forall(v, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))) & F.exists(v, lambda e: e != 0), F.lit(False)))
     nodes = materialize(rows.where("ok").groupBy("v").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "vectors")
-    picked = nodes.orderBy(F.xxhash64("v"), "node").limit(sample).select("v").toPandas()["v"].tolist()  # bounded by sample
+    picked = nodes.orderBy(F.xxhash64("v"), "node").limit(sample).select("v").toArrow()["v"].to_pylist()  # bounded by sample
     codes = max(4, min(sample // 16, round((nodes.count() / cell_rows) ** 0.5)))
     by_size: dict[int, list] = {}
     for x in picked:

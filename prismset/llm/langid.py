@@ -176,7 +176,7 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     # a share of about twice the sample is dealt out by language, then cut exactly
     few = known.join(F.broadcast(counts.orderBy(F.desc("n"), "lang").limit(1000)), "lang").where(F.conv(F.substring(key, 1, 8), 16, 10).cast("double") / 2.0**32 < 2.0 * sample / F.col("n") + 100.0 / F.col("n"))
     few = few.withColumn("place", F.row_number().over(W.partitionBy("lang").orderBy(key, "doc_id"))).where(F.col("place") <= sample)
-    got = few.select("lang", "doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(_sample, "lang string, doc_id long, window binary").orderBy("lang", "doc_id", "window").toPandas()  # bounded by sample, languages and WINDOWS_PER_DOC
+    got = few.select("lang", "doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(_sample, "lang string, doc_id long, window binary").orderBy("lang", "doc_id", "window").toArrow().to_pandas()  # bounded by sample, languages and WINDOWS_PER_DOC
     langs = sorted(got["lang"].unique().tolist())
     net = train([bytes(w) for w in got["window"]], got["lang"].map({x: k for k, x in enumerate(langs)}).to_numpy(np.int64), len(langs), seed=seed) if langs else None
 

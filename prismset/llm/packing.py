@@ -13,6 +13,7 @@ at powers of two, so nothing is padded.
 from __future__ import annotations
 
 import os
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -160,12 +161,15 @@ class WordIds(dict):
         if ids is None and core != word and core[-1:].isalnum():  # the marks are a token run of their own
             ids = self[core] + self[word[len(core) :]]
         if ids is None:
-            ids = np.array(self._encode(word.decode("utf-8", "replace")), "<u4").tobytes()
+            ids = self._encode(word.decode("utf-8", "replace"))
+            ids = struct.pack(f"<{len(ids)}I", *ids)
         self[word] = ids
         return ids
 
     def _encode(self, word: str) -> list[int]:
         """A composed word of Latin letters is one run of letters: the model alone does."""
+        if word.isascii() and word.isalpha():
+            return [t.id for t in self.tokenizer.model.tokenize(word)]
         if word.isalpha() and max(word) < "\u0250" and word == word.lower() and unicodedata.is_normalized("NFC", word):
             return [t.id for t in self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
         return self.tokenizer.encode(word, add_special_tokens=False).ids
