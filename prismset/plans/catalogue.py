@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from prismset.plans import relational
+
+QUERIES = {**relational.QUERIES}
+ORACLES = {**relational.ORACLES}
