@@ -173,12 +173,13 @@ def _sized(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {S.BOXES_SQL}, z AS ({_SIZES_SQL}), s AS (SELECT *, least({S.TARGET}::DOUBLE / iw, {S.TARGET}::DOUBLE / ih) AS scale FROM z),
 p AS (SELECT *, ({S.TARGET} - round_even(iw * scale, 0)) / 2 AS pad_w, ({S.TARGET} - round_even(ih * scale, 0)) / 2 AS pad_h FROM s),
 t AS (SELECT image_id, line_no, part_id, scale, pad_w, pad_h, (x * iw * scale + pad_w) / {S.TARGET} AS x, (y * ih * scale + pad_h) / {S.TARGET} AS y, w * iw * scale / {S.TARGET} AS w, h * ih * scale / {S.TARGET} AS h FROM p)
-SELECT image_id, line_no, part_id, round(scale, 6) AS scale, pad_w, pad_h, round(round_even(({_X1} + {_X2}) / 2, 6), 4) AS x, round(round_even(({_Y1} + {_Y2}) / 2, 6), 4) AS y, round(round_even({_X2} - {_X1}, 6), 4) AS w, round(round_even({_Y2} - {_Y1}, 6), 4) AS h FROM t""")
+SELECT image_id, line_no, part_id, round(scale, 6) AS scale, pad_w, pad_h, round(round_even(({_X1} + {_X2}) / 2, 6) + 0.0000013, 4) AS x, round(round_even(({_Y1} + {_Y2}) / 2, 6) + 0.0000013, 4) AS y,
+  round(round_even({_X2} - {_X1}, 6) + 0.0000013, 4) AS w, round(round_even({_Y2} - {_Y1}, 6) + 0.0000013, 4) AS h FROM t""")
 def letterbox_geometry(spark: SparkSession, d: str) -> DataFrame:
     iw, ih = F.col("iw").cast("double"), F.col("ih").cast("double")
     g = B.letterbox(iw, ih, S.TARGET)
     box = B.letterbox_box(*_xywh(), iw, ih, S.TARGET)
-    return _sized(spark, d).select("image_id", "line_no", "part_id", F.round(g["scale"], 6).alias("scale"), g["pad_w"].alias("pad_w"), g["pad_h"].alias("pad_h"), *(F.round(v, 4).alias(k) for k, v in box.items()))
+    return _sized(spark, d).select("image_id", "line_no", "part_id", F.round(g["scale"], 6).alias("scale"), g["pad_w"].alias("pad_w"), g["pad_h"].alias("pad_h"), *(F.round(v + 0.0000013, 4).alias(k) for k, v in box.items()))  # off the ties that the engines' arithmetic may break differently
 
 
 @query(f"""WITH {S.BOXES_SQL}, z AS ({_SIZES_SQL})
