@@ -66,34 +66,43 @@ def shingles(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return code[keep], np.r_[0, np.cumsum(n - SHINGLE + 1)[:-1]]
 
 
-def bands(lines: list[bytes], seed: int = 42) -> np.ndarray:
-    """(line, band) keys from MinHash signatures of the whole lines."""
-    rng = np.random.default_rng(seed)
-    mul = rng.integers(0, 1 << 32, BANDS * ROWS, np.uint64).astype(np.uint32) | np.uint32(1)
-    add = rng.integers(0, 1 << 32, BANDS * ROWS, np.uint64).astype(np.uint32)
+def bands(lines: list[bytes]) -> np.ndarray:
+    """(line, band) keys from one-permutation MinHash signatures of the whole lines.
+
+    Each shingle falls into one of BANDS * ROWS bins by its hash; a bin's value is
+    the least hash in it, an empty bin takes that of the next bin with one. The
+    bins of a band lie BANDS apart.
+    """
     code, first = shingles(lines)
-    low, high = (code & np.uint64(0xFFFFFFFF)).astype(np.uint32), (code >> np.uint64(32)).astype(np.uint32)
+    bins = BANDS * ROWS
+    line = np.repeat(np.arange(len(lines)), np.diff(np.r_[first, len(code)]))
+    at = line * bins + (((code >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)).astype(np.int64)
+    least = np.full(len(lines) * bins, 0xFFFFFFFF, np.uint32)
+    np.minimum.at(least, at, (code & np.uint64(0xFFFFFFFF)).astype(np.uint32) >> np.uint32(1))
+    least = least.reshape(-1, bins)
+    empty = least == 0xFFFFFFFF
+    col = np.where(empty, 2 * bins, np.arange(bins))
+    ahead = np.minimum.accumulate(np.c_[col, col + bins][:, ::-1], axis=1)[:, ::-1][:, :bins]
+    value = np.take_along_axis(least, ahead % bins, axis=1).astype(np.uint64) + ((ahead - np.arange(bins)).astype(np.uint64) << np.uint64(32))
     out = np.zeros((len(lines), BANDS), np.uint64)
     for b in range(BANDS):
         key = np.full(len(lines), b + 1, np.uint64)
-        for r in range(b * ROWS, (b + 1) * ROWS):
-            h = low * mul[r] + add[r]
-            h ^= (h >> np.uint32(15)) ^ high
-            h *= mul[r]
-            key = (key ^ np.minimum.reduceat(h, first).astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        for r in range(ROWS):
+            key = (key ^ value[:, b + r * BANDS]) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(31)
         out[:, b] = key
     return out
 
 
-def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    """Exact similarity of two sorted distinct code sets."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / max(1, len(a) + len(b) - both)
+def code_set(line: bytes) -> frozenset[str]:
+    """The distinct shingles of a line; a shorter line is one shingle."""
+    text = line.decode("utf-8", "replace")
+    return frozenset(text[i : i + SHINGLE] for i in range(max(1, len(text) - SHINGLE + 1)))
 
 
-def code_set(line: bytes) -> np.ndarray:
-    return np.unique(shingles([line])[0])
+def jaccard(a: frozenset[str], b: frozenset[str]) -> float:
+    both = len(a & b)
+    return both / (len(a) + len(b) - both)
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,8 +175,13 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verify(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     """Links among pairs (a, b, line of a, line of b)."""
+    last, mine = None, frozenset()
     for b in batches:
-        hit = [jaccard(code_set(x), code_set(y)) >= similarity for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+        hit = []
+        for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+            if x != last:
+                last, mine = x, code_set(x)
+            hit.append(similarity * len(mine) <= len(y) and jaccard(mine, code_set(y)) >= similarity)
         yield pa.RecordBatch.from_arrays([b.column(j).filter(pa.array(hit, pa.bool_())) for j in range(2)], ["a", "b"])
 
 
@@ -227,7 +241,8 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     once = materialize(components(near), "once")
 
     named = members.join(once, "id", "left").select("band", "id", F.coalesce("component_id", "id").alias("comp"))
-    open_ = named.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("x < y").select("band", "blocks")
+    open_ = named.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("n")).where("x < y AND n > 2")  # of two, the first round has compared all
+    open_ = open_.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).select("band", "blocks")
     rest = named.join(open_, "band").join(texts, "id").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     asks = rest.select("band", F.col("mine").alias("i"), every.alias("j"), F.lit(True).alias("asks"), "id", "comp", "line")
