@@ -13,7 +13,7 @@ Equal lines are one node, named by the XXH64 of the normalised line.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -173,24 +173,24 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["band", "id", "first"])
 
 
-def _verify(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Links among pairs (a, b, line of a, line of b)."""
+def _verify(batches: Iterator[pa.RecordBatch], similarity: float, codes: Callable[[bytes], frozenset]) -> Iterator[pa.RecordBatch]:
+    """Links among pairs (a, b, text of a, text of b)."""
     last, mine = None, frozenset()
     for b in batches:
         hit = []
         for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
             if x != last:
-                last, mine = x, code_set(x)
-            hit.append(similarity * len(mine) <= len(y) and jaccard(mine, code_set(y)) >= similarity)
+                last, mine = x, codes(x)
+            hit.append(similarity * len(mine) <= len(y) and jaccard(mine, codes(y)) >= similarity)
         yield pa.RecordBatch.from_arrays([b.column(j).filter(pa.array(hit, pa.bool_())) for j in range(2)], ["a", "b"])
 
 
-def _compare(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], similarity: float, codes: Callable[[bytes], frozenset]) -> Iterator[pa.RecordBatch]:
     """Links within sorted groups (band, i, j) of (asks, id, comp, line) rows."""
 
     def links() -> Iterator[tuple[int, int]]:
         uf = UnionFind()
-        sets = {k: code_set(x) for k, x in {r[1]: r[3] for r in rows}.items()}
+        sets = {k: codes(x) for k, x in {r[1]: r[3] for r in rows}.items()}
         others = [r for r in rows if not r[0]]
         for _, k, comp, _ in (r for r in rows if r[0]):
             mine = sets[k]
@@ -216,6 +216,33 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[j] for p in found], pa.int64()) for j in range(2)], ["a", "b"])
 
 
+def linked(members: DataFrame, texts: DataFrame, similarity: float, codes: Callable[[bytes], frozenset]) -> DataFrame:
+    """Components (id, component_id) of verified links among candidates.
+
+    ``members`` are (band, id, first): rows of one band are candidates of each
+    other, ``first`` is the one of them that the first round compares with.
+    ``texts`` are (id, line), ``codes`` gives the set that a text is compared by.
+    """
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = members.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    pairs = pairs.join(texts.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b").join(texts.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
+    near = materialize(pairs.select("a", "b", "line_a", "line_b").mapInArrow(lambda it: _verify(it, similarity, codes), "a long, b long"), "near")
+    once = materialize(components(near), "once")
+
+    named = members.join(once, "id", "left").select("band", "id", F.coalesce("component_id", "id").alias("comp"))
+    open_ = named.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("n")).where("x < y AND n > 2")  # of two, the first round has compared all
+    open_ = open_.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).select("band", "blocks")
+    rest = named.join(open_, "band").join(texts, "id").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    asks = rest.select("band", F.col("mine").alias("i"), every.alias("j"), F.lit(True).alias("asks"), "id", "comp", "line")
+    told = rest.select("band", every.alias("i"), F.col("mine").alias("j"), F.lit(False).alias("asks"), "id", "comp", "line")
+    dealt = asks.unionByName(told).where("i <= j").repartition(n, "band", "i", "j").sortWithinPartitions("band", "i", "j")
+    more = materialize(dealt.mapInArrow(lambda it: _compare(it, similarity, codes), "a long, b long"), "more")
+    joined = components(near.unionByName(more))
+    discard(once)
+    return joined
+
+
 def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One row per line of the input: doc_id, line_no, keep_doc_id, keep_line_no, group_size, kept.
 
@@ -235,22 +262,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     wanted = members.select("id").distinct()
     texts = materialize(docs.select("text").mapInArrow(_texts, "id long, line binary").join(wanted, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line")), "texts")
 
-    pairs = members.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    pairs = pairs.join(texts.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b").join(texts.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
-    near = materialize(pairs.select("a", "b", "line_a", "line_b").mapInArrow(lambda it: _verify(it, similarity), "a long, b long"), "near")
-    once = materialize(components(near), "once")
-
-    named = members.join(once, "id", "left").select("band", "id", F.coalesce("component_id", "id").alias("comp"))
-    open_ = named.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("n")).where("x < y AND n > 2")  # of two, the first round has compared all
-    open_ = open_.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).select("band", "blocks")
-    rest = named.join(open_, "band").join(texts, "id").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    asks = rest.select("band", F.col("mine").alias("i"), every.alias("j"), F.lit(True).alias("asks"), "id", "comp", "line")
-    told = rest.select("band", every.alias("i"), F.col("mine").alias("j"), F.lit(False).alias("asks"), "id", "comp", "line")
-    dealt = asks.unionByName(told).where("i <= j").repartition(n, "band", "i", "j").sortWithinPartitions("band", "i", "j")
-    more = materialize(dealt.mapInArrow(lambda it: _compare(it, similarity), "a long, b long"), "more")
-    joined = components(near.unionByName(more))
-    discard(once)
+    joined = linked(members, texts, similarity, code_set)
 
     first = lines.where("id is not null").groupBy("id").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n"))
     first = first.join(joined, "id", "left").select("id", "first", "n", F.coalesce("component_id", "id").alias("root"))
