@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from prismset.plans import relational
+from prismset.plans import formats, relational
 
-QUERIES = {**relational.QUERIES}
-ORACLES = {**relational.ORACLES}
+QUERIES = {**relational.QUERIES, **formats.QUERIES}
+ORACLES = {**relational.ORACLES, **formats.ORACLES}
