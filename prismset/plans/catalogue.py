@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from prismset.plans import formats, relational
+from prismset.plans import formats, images, relational
 
-QUERIES = {**relational.QUERIES, **formats.QUERIES}
+QUERIES = {**relational.QUERIES, **formats.QUERIES, **images.QUERIES}
 ORACLES = {**relational.ORACLES, **formats.ORACLES}

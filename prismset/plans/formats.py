@@ -75,11 +75,11 @@ def _voc(spark: SparkSession, d: str) -> DataFrame:
   CASE WHEN l_orderkey % 5 = 0 THEN 640.0::DOUBLE ELSE 800.0::DOUBLE END AS iw, CASE WHEN l_orderkey % 5 = 0 THEN 480.0::DOUBLE ELSE 600.0::DOUBLE END AS ih FROM lineitem),
 b AS (SELECT *, (x1 + x2) / 2.0::DOUBLE / iw AS x, (y1 + y2) / 2.0::DOUBLE / ih AS y, (x2 - x1) / iw AS w, (y2 - y1) / ih AS h, 0 AS class_id, max(unknown) OVER (PARTITION BY image_id) AS bad FROM r),
 v AS (SELECT *, bad = 0 AND w > 0 AND h > 0 AND {_REASON} = 'ok' AS ok FROM b)
-SELECT image_id, max(bad) = 0 AS valid, CASE WHEN max(bad) = 1 THEN 'unknown class' END AS error, count(*) FILTER (ok) AS boxes, round(coalesce(sum(w) FILTER (ok), 0), 6) AS width FROM v GROUP BY image_id""")
+SELECT image_id, max(bad) = 0 AS valid, CASE WHEN max(bad) = 1 THEN 'unknown class' END AS error, count(*) FILTER (ok) AS boxes, round(coalesce(sum(w) FILTER (ok), 0) + 0.0000000013, 6) AS width FROM v GROUP BY image_id""")
 def voc_parse(spark: SparkSession, d: str) -> DataFrame:
     """VOC documents read back: boxes of each image, whole records failing on an unknown class."""
     p = A.voc_boxes(_voc(spark, d), "xml", {"grape": 0}, F.lit(640), F.lit(480))
-    return p.select("image_id", "valid", "error", F.size("boxes").cast("long").alias("boxes"), F.round(F.aggregate("boxes", F.lit(0.0), lambda s, b: s + b["w"]), 6).alias("width"))
+    return p.select("image_id", "valid", "error", F.size("boxes").cast("long").alias("boxes"), F.round(F.aggregate("boxes", F.lit(0.0), lambda s, b: s + b["w"]) + 0.0000000013, 6).alias("width"))
 
 
 @query(f"""WITH r AS (SELECT l_orderkey AS image_id, CASE WHEN l_orderkey % 13 = 0 AND l_linenumber = 1 THEN 'weed' ELSE 'grape' END AS name, {_CORNERS} FROM lineitem)
