@@ -35,15 +35,15 @@ from prismset.session import table
 
 #: Context length in bytes, and sequences that the trie keeps of each order.
 ORDER = 5
-MAX_NODES = 1_500_000
+MAX_NODES = 1_000_000
 #: Words whose counts are sent to every task.
 HOT_WORDS = 50_000
 #: Bytes that no UTF-8 text holds: before the first word, after the last.
 START, END = 0xFE, 0xFF
 #: Bytes handled at once by the counting and scoring tasks, and words counted
 #: before a task hands on what it has.
-BATCH_BYTES = 2 << 20
-WORDS_HELD = 400_000
+BATCH_BYTES = 512 << 10
+WORDS_HELD = 150_000
 MULT = np.uint64(0x9E3779B97F4A7C15)
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -120,7 +120,7 @@ def _gather(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.Record
         parts.append(_count(windows(texts, order)[0]))
         if len(parts) >= 8:
             parts = [merged()]
-            if len(parts[0][0]) > 2_000_000:
+            if len(parts[0][0]) > 1_000_000:
                 yield codes_out()
                 parts = []
     if words:
@@ -175,8 +175,8 @@ def _hash(keys: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _table(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of an open-addressing table at most half full, and each key's slot."""
-    bits = max(4, int(2 * len(keys)).bit_length())
+    """Slots of an open-addressing table at most two thirds full, and each key's slot."""
+    bits = max(4, (3 * len(keys) // 2).bit_length())
     slots, at = np.full(1 << bits, EMPTY), np.zeros(len(keys), np.int64)
     left, pos = np.arange(len(keys)), _hash(keys, bits)
     while len(left):
