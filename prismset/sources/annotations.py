@@ -115,7 +115,7 @@ def detect(files: DataFrame) -> DataFrame:
 
     g = f.groupBy("subfolder").agg(
         F.max((F.col("ext") == "json") & F.col("content").rlike('(?s)^\\s*\\{.*"images"\\s*:') & F.col("content").rlike('"annotations"\\s*:')).alias("coco"),
-        F.max((F.col("ext") == "xml") & (F.col("content").rlike("(?s)^\\s*(<\\?[^>]*>\\s*)?<annotation[\\s>]") | F.col("content").contains("<object>"))).alias("voc"),
+        F.max((F.col("ext") == "xml") & (F.col("content").rlike("(?s)^\\s*(<\\?[^>]*>\\s*)?<annotation[\\s/>]") | F.col("content").contains("<object>"))).alias("voc"),
         F.sum(F.when(looked, F.size(F.filter(lines, good))).otherwise(0)).alias("good"),
         F.sum(F.when(looked, F.size(lines)).otherwise(0)).alias("seen"),
         F.max(F.col("label") | F.col("ext").isin("xml", "json")).alias("some"),
