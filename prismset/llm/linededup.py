@@ -191,13 +191,23 @@ def _compare(batches: Iterator[pa.RecordBatch], similarity: float, codes: Callab
     def links() -> Iterator[tuple[int, int]]:
         uf = UnionFind()
         sets = {k: codes(x) for k, x in {r[1]: r[3] for r in rows}.items()}
-        others = [r for r in rows if not r[0]]
+        groups: dict[int, list[int]] = {}  # of the others, by component
+        for r in rows:
+            if not r[0]:
+                groups.setdefault(r[2], []).append(r[1])
         for _, k, comp, _ in (r for r in rows if r[0]):
-            mine = sets[k]
-            for _, o, other, _ in others:
-                if uf.find(comp) != uf.find(other) and similarity * len(mine) <= len(sets[o]) <= len(mine) / similarity and jaccard(mine, sets[o]) >= similarity:
-                    uf.union(comp, other)
+            mine, own = sets[k], uf.find(comp)
+            least, most = similarity * len(mine), len(mine) / similarity
+            for root in list(groups):
+                if root == own or root not in groups:
+                    continue
+                o = next((o for o in groups[root] if least <= len(sets[o]) <= most and jaccard(mine, sets[o]) >= similarity), None)
+                if o is not None:  # one link joins the whole component
                     yield k, o
+                    uf.union(own, root)
+                    both = groups.pop(root) + groups.pop(own, [])
+                    own = uf.find(own)
+                    groups[own] = both
 
     rows: list[tuple] = []
     last = None

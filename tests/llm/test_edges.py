@@ -227,3 +227,33 @@ def test_vectors(spark):
         assert all(got[j].component_id == got[k].component_id for j in near)
     assert all(got[k].n_links == 0 and got[k].component_id == k for k in bad)
     assert embeddings.near_embeddings(df.limit(0)).count() == 0
+
+
+def test_second_round_joins_what_brute_force_joins():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(0)
+    words = [f"w{k}ab" for k in range(300)]
+    lines = []
+    for _ in range(4):
+        base = list(rng.choice(words, 20))
+        for _ in range(40):
+            x = list(base)
+            for _ in range(rng.integers(1, 3)):
+                x[rng.integers(0, 20)] = words[rng.integers(0, 300)]
+            lines.append(" ".join(x).encode())
+    ids = list(range(len(lines)))
+    comp = [k if k % 7 else max(0, k - 1) for k in ids]
+    blocks = [(i, j) for i in range(3) for j in range(i, 3)]
+    found = [(1, i, j, asks, k, comp[k], lines[k]) for i, j in blocks for asks, b in ((True, i), (False, j)) for k in ids if k % 3 == b]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], ["band", "i", "j", "asks", "id", "comp", "line"])
+    links = [p for o in linededup._compare(iter([batch]), 0.8, linededup.code_set) for p in zip(o.column(0).to_pylist(), o.column(1).to_pylist(), strict=True)]
+    sets = [linededup.code_set(x) for x in lines]
+
+    def roots(edges):
+        uf = linededup.UnionFind()
+        for a, b in [*enumerate(comp), *edges]:
+            uf.union(a, b)
+        return [uf.find(k) for k in ids]
+
+    assert roots(links) == roots([(i, j) for i in ids for j in ids[:i] if linededup.jaccard(sets[i], sets[j]) >= 0.8])
