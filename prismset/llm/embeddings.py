@@ -161,7 +161,8 @@ def near_embeddings(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = F.col("v")
-    rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
+    kind = "float" if "float" in df.schema[vector_col].dataType.simpleString() else "double"  # as stored; compared in double
+    rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(f"array<{kind}>").alias("v"))
     rows = rows.withColumn("ok", F.coalesce(F.col("vec_id").isNotNull() & (F.size("v") > 0) & F.forall(v, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))) & F.exists(v, lambda e: e != 0), F.lit(False)))
     nodes = materialize(rows.where("ok").groupBy("v").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "vectors")
     picked = nodes.orderBy(F.xxhash64("v"), "node").limit(sample).select("v").toArrow()["v"].to_pylist()  # bounded by sample
@@ -187,18 +188,18 @@ def near_embeddings(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
                 own = m.cells(x) if m else np.zeros(len(x), np.int64)
                 at = np.repeat(np.arange(len(x)), [len(s) for s in seen])
                 cells = np.concatenate(seen)
-                for k in range(0, len(at), 20_000):
-                    i = at[k : k + 20_000]
-                    cols = [pa.array(np.full(len(i), size, np.int32)), pa.array(cells[k : k + 20_000]), pa.array(cells[k : k + 20_000] == own[i])]
+                for p in range(0, len(at), 20_000):
+                    i = at[p : p + 20_000]
+                    cols = [pa.array(np.full(len(i), size, np.int32)), pa.array(cells[p : p + 20_000]), pa.array(cells[p : p + 20_000] == own[i])]
                     if rows:
-                        cols += [one.column(1).take(pa.array(i)), one.column(2).take(pa.array(i)), pa.FixedSizeListArray.from_arrays(pa.array(x[i].ravel()), int(size)).cast(pa.list_(pa.float64()))]
+                        cols += [one.column(k).take(pa.array(i)) for k in (1, 2, 0)]
                     yield pa.RecordBatch.from_arrays(cols, ["size", "cell", "home", "node", "copies", "v"][: len(cols)])
 
     base = nodes.select("v", "node", "copies")
     # rows of large cells are dealt into blocks: members by others, block against block
     loads = base.mapInArrow(lambda it: visits(it, False), "size int, cell long, home boolean").groupBy("size", "cell").agg(F.count_if("home").alias("members"), F.count("*").alias("all"))
     loads = loads.where("members > 0 and all > 1").select("size", "cell", F.ceil(F.col("members") / block).cast("int").alias("nm"), F.ceil(F.col("all") / block).cast("int").alias("no"))
-    placed = base.mapInArrow(lambda it: visits(it, True), "size int, cell long, home boolean, node long, copies long, v array<double>").join(loads, ["size", "cell"])
+    placed = base.mapInArrow(lambda it: visits(it, True), f"size int, cell long, home boolean, node long, copies long, v array<{kind}>").join(loads, ["size", "cell"])
     h = F.xxhash64("node")
     cols = ["size", "cell", "node", "copies", "v", "home"]
     as_member = placed.where("home").select(*cols, F.lit(True).alias("asks"), F.pmod(h, F.col("nm")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("no") - 1)).alias("j"))
@@ -234,7 +235,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
     def out() -> tuple:
         t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        x = np.asarray(t.column(8).flatten(), np.float64).reshape(t.num_rows, -1)
+        x = unit_rows(t, 8)
         return t.column(0)[0].as_py(), t.column(1)[0].as_py(), t.column(4).to_numpy(zero_copy_only=False), t.column(5).to_numpy(), t.column(6).to_numpy(), t.column(7).to_numpy(zero_copy_only=False), x
 
     last = None
