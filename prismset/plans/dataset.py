@@ -13,12 +13,14 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from prismset.functions import boxes as B
 from prismset.functions import paths as P
 from prismset.operators import dedup, pixels, split
 from prismset.sources import annotations as A
+from prismset.streaming import ingest
 
 BOX = "array<struct<class_id:int,x:double,y:double,w:double,h:double>>"
 
@@ -117,6 +119,55 @@ def write(images: DataFrame, config: dict, augment: bool) -> DataFrame:
     return moved.select(*cols, F.substring(F.md5("path"), 1, 8).alias("tag")).mapInPandas(run, "path string, split string, boxes long")
 
 
+def quarantine(images: DataFrame, folder: str) -> None:
+    """A manifest of rejected images, in a folder for each status."""
+    rejected = images.where(~F.col("status").isin("valid", "unannotated"))
+    rejected.select("path", "subfolder", "status", F.concat_ws("_", "subfolder", P.name(F.col("path"))).alias("name")).write.mode("overwrite").partitionBy("status").json(folder)
+
+
+def previews(images: DataFrame, folder: str, each: int = 3) -> int:
+    """The first annotated images of each subfolder with their boxes drawn; how many."""
+    first = images.where("status = 'valid' AND size(boxes) > 0").withColumn("k", F.row_number().over(W.partitionBy("subfolder").orderBy("path"))).where(F.col("k") <= each)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for r in b.itertuples():
+                px = [tuple(round(v * n) for v, n in ((x["x"] - x["w"] / 2, r.width), (x["y"] - x["h"] / 2, r.height), (x["x"] + x["w"] / 2, r.width), (x["y"] + x["h"] / 2, r.height))) for x in r.boxes]
+                Path(folder).mkdir(parents=True, exist_ok=True)
+                (Path(folder) / f"{r.subfolder}_{r.stem}.png").write_bytes(pixels.png(pixels.draw_boxes(pixels.array(r.data, r.height, r.width, r.channels), px)))
+            yield pd.DataFrame({"n": [len(b)]})
+
+    return first.select("subfolder", "stem", "data", "height", "width", "channels", "boxes").mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+
+
+def statistics(images: DataFrame) -> dict:
+    """Totals, and size statistics of the boxes (left out if there are none)."""
+    out = images.agg(F.count("*").alias("total_images"), F.count_if(F.col("status") == "valid").alias("valid_images"), F.count_if(~F.col("status").isin("valid", "unannotated")).alias("quarantined_images")).first().asDict()
+    b = images.where("status = 'valid'").select("path", F.explode("boxes").alias("b"))
+    a = F.col("b.w") * F.col("b.h")
+    m = b.agg(F.count("*").alias("total_boxes"), F.avg(a).alias("mean_area"), F.stddev_pop(a).alias("std_area"), F.min(a).alias("min_area"), F.max(a).alias("max_area"), F.avg("b.w").alias("mean_width"), F.avg("b.h").alias("mean_height")).first().asDict()
+    return out | (m if m["total_boxes"] else {})
+
+
+def integrity(spark: SparkSession, config: dict) -> dict:
+    """Every label row of the output checked again; stems of images and labels must agree."""
+    out: dict = {"valid": True, "errors": []}
+    classes = list(config["classes"])
+    for name in ("train", "val", "test"):
+        base = Path(config["output_path"]) / name
+        images, labels = ({p.stem: p for p in sorted((base / kind).glob("*"))} for kind in ("images", "labels"))
+        rows = spark.read.format("binaryFile").load([str(p) for p in labels.values()]).select("path", F.explode(F.split(F.col("content").cast("string"), "\n")).alias("line")).where("trim(line) <> ''") if labels else None
+        checked = ingest.validated(rows, classes) if rows is not None else None
+        bad = checked.where("reason IS NOT NULL").orderBy("path", "line").limit(100).collect() if checked is not None else []
+        out["errors"] += [f"{r.path}: {r.reason}" for r in bad]
+        if set(images) != set(labels):
+            out["errors"].append(f"{name}: images and labels differ")
+        out[name] = {"images": len(images), "labels": len(labels), "boxes": checked.where("reason IS NULL").count() if checked is not None else 0}
+    out["errors"] = out["errors"][:100]
+    out["valid"] = not out["errors"]
+    return out
+
+
 def report(df: DataFrame, *by: str) -> list[dict]:
     """Images and boxes by group: a few rows."""
     return [r.asDict() for r in df.groupBy(*by).agg(F.count("*").alias("images"), F.sum(F.size("boxes")).alias("boxes")).orderBy(*by).collect()]
@@ -128,10 +179,11 @@ def run(spark: SparkSession, config: dict, stage: str | None = None) -> dict:
     reports = Path(config["reports_path"])
     reports.mkdir(parents=True, exist_ok=True)
 
-    def note(name: str, rows: list[dict]) -> None:
+    def note(name: str, rows: object) -> None:
         out[name] = rows
         (reports / f"{name}.json").write_text(json.dumps(rows, indent=2))
 
+    (reports / "config_snapshot.json").write_text(json.dumps(config, indent=2))
     images = scan(spark, config)
     note("ingestion_report", report(images, "subfolder", "status"))
     if stage in ("ingestion", "validation"):
@@ -146,6 +198,7 @@ def run(spark: SparkSession, config: dict, stage: str | None = None) -> dict:
         return out
     images = filter_quality(images, config)
     note("quality_report", report(images, "status"))
+    quarantine(images, config["rejected_path"])
     if stage == "quality_filter":
         return out
     placed = split_images(images, config)
@@ -163,4 +216,9 @@ def run(spark: SparkSession, config: dict, stage: str | None = None) -> dict:
     note("output_report", [r.asDict() for r in written.groupBy("split").agg(F.count("*").alias("images"), F.sum("boxes").alias("boxes")).orderBy("split").collect()])
     names = "".join(f"  {k}: {v}\n" for k, v in sorted(config["classes"].items()))
     (target / "data.yaml").write_text(f"path: {target}\ntrain: train/images\nval: val/images\ntest: test/images\nnames:\n{names}")
+    note("dataset_statistics", statistics(images))
+    note("previews", previews(images, f"{config['experiments_path']}/previews"))
+    note("final_integrity_report", integrity(spark, config))
+    if not out["final_integrity_report"]["valid"]:
+        raise RuntimeError("the written dataset is invalid, see final_integrity_report.json")
     return out

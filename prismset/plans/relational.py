@@ -470,3 +470,25 @@ def augment_flip_boxes(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT event_id, event_type, value FROM events WHERE value / 20 >= 0.5""")
 def confidence_filter(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").where(F.col("value") / 20 >= 0.5).select("event_id", "event_type", "value")
+
+
+@query(f"""WITH {S.BOXES_SQL}, r AS (SELECT image_id, count(*) AS boxes, count(*) FILTER ({_REASON} <> 'ok') AS bad FROM boxes GROUP BY image_id)
+SELECT count(*) AS records, count(*) FILTER (bad < boxes) AS valid, count(*) FILTER (bad = boxes) AS invalid, CAST(sum(boxes) AS BIGINT) AS boxes, CAST(sum(bad) AS BIGINT) AS invalid_boxes FROM r""")
+def annotation_report(spark: SparkSession, d: str) -> DataFrame:
+    """Records with at least one valid box, and boxes that fail."""
+    r = S.boxes(spark, d).withColumn("reason", _reason()).groupBy("image_id").agg(F.count("*").alias("boxes"), F.count_if(F.expr("reason <> 'ok'")).alias("bad"))
+    return r.agg(F.count("*").alias("records"), F.count_if(F.expr("bad < boxes")).alias("valid"), F.count_if(F.expr("bad = boxes")).alias("invalid"), long(F.sum("boxes")).alias("boxes"), long(F.sum("bad")).alias("invalid_boxes"))
+
+
+@query(f"""WITH {S.BOXES_SQL} SELECT DISTINCT image_id, {_REASON} AS issue FROM boxes WHERE {_REASON} <> 'ok' ORDER BY 1, 2 LIMIT 50""")
+def annotation_issues(spark: SparkSession, d: str) -> DataFrame:
+    """The first 50 issues."""
+    return S.boxes(spark, d).select("image_id", _reason().alias("issue")).where("issue <> 'ok'").distinct().orderBy("image_id", "issue").limit(50)
+
+
+@query(f"""WITH {S.IMAGE_PATHS_SQL} SELECT doc_id, CASE WHEN source IN ('src1', 'src2') THEN 'train' ELSE 'other' END AS part, regexp_extract(path, '^(.*)/[^/]*$', 1) AS folder,
+  source || '_' || regexp_extract(path, '([^/]*)$', 1) AS output_name FROM image_paths""")
+def output_names(spark: SparkSession, d: str) -> DataFrame:
+    """Names of processed images."""
+    p = F.col("path")
+    return S.image_paths(spark, d).select("doc_id", F.when(F.col("source").isin("src1", "src2"), "train").otherwise("other").alias("part"), P.folder(p).alias("folder"), F.concat("source", F.lit("_"), P.name(p)).alias("output_name"))

@@ -137,6 +137,8 @@ def test_image_pipeline(spark, tmp_path):
     out = tmp_path / "data/processed/v001"
     assert len(list(out.glob("*/images/*.png"))) == len(list(out.glob("*/labels/*.txt"))) == 12 and (out / "data.yaml").exists()
     assert json.loads((tmp_path / "reports/split_report.json").read_text()) == got["split_report"]
+    assert got["final_integrity_report"]["valid"] and got["previews"] == 6 and got["dataset_statistics"]["quarantined_images"] == 3
+    assert (tmp_path / "data/rejected/status=corrupted").is_dir()
     with pytest.raises(FileExistsError):
         dataset.run(spark, c)
 
