@@ -94,7 +94,7 @@ def fit(x: np.ndarray, y: np.ndarray, share: np.ndarray, pairs: int = PAIRS, ste
     s = z @ w
     mass = np.where(y == 1, share[1] / len(good), share[0] / len(bad))
     order = np.argsort(s, kind="stable")
-    k = min(int(np.searchsorted(np.cumsum(mass[order]), share[0])), len(s) - 2)
+    k = min(int(np.searchsorted(np.cumsum(mass[order]), share[0] - 1e-9)), len(s) - 2)
     cut = (s[order[k]] + s[order[k + 1]]) / 2
     w = w * scale
     return w, float(cut + x.mean(axis=0) @ w)
