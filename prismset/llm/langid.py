@@ -29,7 +29,7 @@ WINDOWS_PER_DOC = 6
 BATCH = 64
 STEPS = 350
 #: Windows that are run through the network at once.
-RUN = 4096
+RUN = 2048
 UNKNOWN = "und"
 
 
@@ -69,11 +69,44 @@ class BiGru:
             h = states[t] = new
         return states, held
 
+    def _states(self, d: str, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        """The states of ``_run``, worked out in place."""
+        hu, wx, u = self.units, self.p[f"x{d}"], self.p[f"u{d}"]
+        h = np.zeros((len(x), hu), np.float32)
+        states = np.empty((x.shape[1], len(x), hu), np.float32)
+        s, z, r = np.empty((len(x), 3 * hu), np.float32), np.empty_like(h), np.empty_like(h)
+        whole = mask.all(axis=0)
+        columns = np.ascontiguousarray(x.T)
+        for t in range(x.shape[1]) if d == "f" else range(x.shape[1] - 1, -1, -1):
+            g = wx.take(columns[t], axis=0)
+            np.matmul(h, u, out=s)
+            for gate, k in ((z, 0), (r, hu)):
+                np.add(g[:, k : k + hu], s[:, k : k + hu], out=gate)
+                gate *= 0.5
+                np.tanh(gate, out=gate)
+                gate *= 0.5
+                gate += 0.5
+            r *= s[:, 2 * hu :]
+            r += g[:, 2 * hu :]
+            np.tanh(r, out=r)  # the candidate
+            new = states[t]
+            np.subtract(h, r, out=new)
+            new *= z
+            new += r
+            if not whole[t]:
+                new *= mask[:, t, None]
+            h = new
+        return states
+
     def positions(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
         """Probabilities (time, batch, class) of every position."""
-        y = self.p["b"] + self._run("f", x, mask, False)[0] @ self.p["of"] + self._run("b", x, mask, False)[0] @ self.p["ob"]
-        y = np.exp(y - y.max(axis=-1, keepdims=True))
-        return y / y.sum(axis=-1, keepdims=True)
+        y = self._states("f", x, mask) @ self.p["of"]
+        y += self._states("b", x, mask) @ self.p["ob"]
+        y += self.p["b"]
+        y -= y.max(axis=-1, keepdims=True)
+        np.exp(y, out=y)
+        y /= y.sum(axis=-1, keepdims=True)
+        return y
 
     def gradients(self, x: np.ndarray, mask: np.ndarray, label: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean cross-entropy over the positions and its gradients (BPTT)."""
