@@ -66,6 +66,25 @@ def shingles(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return code[keep], np.r_[0, np.cumsum(n - SHINGLE + 1)[:-1]]
 
 
+def band_keys(code: np.ndarray, first: np.ndarray, count: int, rows: int) -> np.ndarray:
+    """(set, band) keys from MinHash signatures of ``count`` times ``rows`` permutations.
+
+    ``code`` holds the hashed members of all sets, ``first`` where each set begins;
+    no set is empty. Every value has a permutation of its own, whatever the size of
+    the set, so a pair at Jaccard j shares a band with 1 - (1 - j^rows)^count.
+    """
+    low = (code >> np.uint64(16)).astype(np.uint32)
+    odd = np.random.default_rng(20).integers(0, 1 << 31, (count, rows), np.uint32) * np.uint32(2) + np.uint32(1)
+    out = np.zeros((len(first), count), np.uint64)
+    for b in range(count):
+        key = np.full(len(first), b + 1, np.uint64)
+        for r in range(rows):
+            key = (key ^ np.minimum.reduceat(low * odd[b, r], first)) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(31)
+        out[:, b] = key
+    return out
+
+
 def bands(lines: list[bytes]) -> np.ndarray:
     """(line, band) keys from one-permutation MinHash signatures of the whole lines.
 

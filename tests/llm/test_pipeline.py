@@ -2,6 +2,7 @@
 
 import os
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -54,3 +55,23 @@ def test_stages(spark):
     ids_of = packing.WordIds(packing.default_tokenizer())
     total = sum(len(ids_of.text(r.text.encode(), b"1234")) // 4 for r in got["mix"])
     assert sum(r.length for r in got["pack"]) == total
+
+
+def test_near_copies_at_the_bound(spark):
+    """Texts with words appended or cut off, at five-word similarities of 0.80 to 0.90."""
+    rng = np.random.default_rng(11)
+    data, pairs = [], []
+    for k in range(400):
+        n = int(rng.integers(100, 600))
+        base = [f"w{x}" for x in rng.integers(0, 5000, n)]
+        share = 0.802 + 0.098 * k / 400
+        more = int((n - 4) / share) - (n - 4) if k % 2 else int((n - 4) * (1 - share))
+        other = base + [f"n{x}" for x in rng.integers(0, 5000, more)] if k % 2 else base[: n - more]
+        data += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+        a, b = (simhash.word_shingles(t.encode()) for _, t in data[-2:])
+        if len(a & b) >= 0.8 * len(a | b):
+            pairs.append((2 * k, 2 * k + 1))
+    assert len(pairs) >= 395
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert sum(got[a] == got[b] for a, b in pairs) >= 0.99 * len(pairs)
+    assert all(got[i] in (i, i ^ 1) for i in got)
