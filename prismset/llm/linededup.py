@@ -27,7 +27,8 @@ from prismset.session import table
 
 SHINGLE = 6
 SIMILARITY = 0.8
-#: Bands of a signature and hashes of a band: a pair at 0.8 is missed once in 400.
+#: Bands of a signature and hashes of a band: a pair at 0.8 is missed once in 400,
+#: at any length of the lines.
 BANDS = 15
 ROWS = 5
 #: Line ids that a task remembers so as not to hand on a line twice, characters
@@ -86,31 +87,8 @@ def band_keys(code: np.ndarray, first: np.ndarray, count: int, rows: int) -> np.
 
 
 def bands(lines: list[bytes]) -> np.ndarray:
-    """(line, band) keys from one-permutation MinHash signatures of the whole lines.
-
-    Each shingle falls into one of BANDS * ROWS bins by its hash; a bin's value is
-    the least hash in it, an empty bin takes that of the next bin with one. The
-    bins of a band lie BANDS apart.
-    """
-    code, first = shingles(lines)
-    bins = BANDS * ROWS
-    line = np.repeat(np.arange(len(lines)), np.diff(np.r_[first, len(code)]))
-    at = line * bins + (((code >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)).astype(np.int64)
-    least = np.full(len(lines) * bins, 0xFFFFFFFF, np.uint32)
-    np.minimum.at(least, at, (code & np.uint64(0xFFFFFFFF)).astype(np.uint32) >> np.uint32(1))
-    least = least.reshape(-1, bins)
-    empty = least == 0xFFFFFFFF
-    col = np.where(empty, 2 * bins, np.arange(bins))
-    ahead = np.minimum.accumulate(np.c_[col, col + bins][:, ::-1], axis=1)[:, ::-1][:, :bins]
-    value = np.take_along_axis(least, ahead % bins, axis=1).astype(np.uint64) + ((ahead - np.arange(bins)).astype(np.uint64) << np.uint64(32))
-    out = np.zeros((len(lines), BANDS), np.uint64)
-    for b in range(BANDS):
-        key = np.full(len(lines), b + 1, np.uint64)
-        for r in range(ROWS):
-            key = (key ^ value[:, b + r * BANDS]) * np.uint64(0x9E3779B97F4A7C15)
-            key ^= key >> np.uint64(31)
-        out[:, b] = key
-    return out
+    """(line, band) keys of the whole lines."""
+    return band_keys(*shingles(lines), BANDS, ROWS)
 
 
 def code_set(line: bytes) -> frozenset[str]:

@@ -257,3 +257,23 @@ def test_second_round_joins_what_brute_force_joins():
         return [uf.find(k) for k in ids]
 
     assert roots(links) == roots([(i, j) for i in ids for j in ids[:i] if linededup.jaccard(sets[i], sets[j]) >= 0.8])
+
+
+def test_short_similar_lines_share_a_band():
+    """Lines cut to a similarity of 0.80 to 0.85: of 5 to 40 shingles, hardly any pair is lost."""
+    rng = np.random.default_rng(4)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz "))
+    for n in (5, 10, 14, 24, 40):
+        k = int(np.ceil(0.8 * n))
+        lines = ["".join(rng.choice(letters[:26], n + linededup.SHINGLE - 1)).encode() for _ in range(1000)]
+        cut = [x[: k + linededup.SHINGLE - 1] for x in lines]
+        assert all(linededup.jaccard(linededup.code_set(x), linededup.code_set(y)) >= 0.8 for x, y in zip(lines, cut, strict=True))
+        assert (linededup.bands(lines) == linededup.bands(cut)).any(axis=1).mean() >= 0.99
+
+
+def test_short_lines_are_joined(spark):
+    rng = np.random.default_rng(6)
+    lines = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 15)) for _ in range(200)]
+    df = spark.createDataFrame([(2 * k + j, x[: 15 - 2 * j]) for k, x in enumerate(lines) for j in range(2)], "doc_id long, text string")
+    got = {r.doc_id: r for r in linededup.line_dedup(df).collect()}
+    assert sum(got[2 * k + 1].keep_doc_id == 2 * k for k in range(200)) >= 198
