@@ -8,10 +8,13 @@ symbols), and symbols of a context that was escaped from are excluded from the
 shorter ones. In the end a uniform choice among unseen bytes is left, so each
 text has a positive probability.
 
-Counts of byte sequences are gathered from all training texts with Spark; the
-trie holds at most ``max_nodes`` sequences of an order, the most frequent ones,
-so its size is bounded whatever the corpus. Scoring looks whole batches of
-positions up in open-addressing tables of that trie.
+Counts of byte sequences are gathered from all training texts with Spark, and all
+of them are kept. What a window of ``order`` + 1 bytes scores depends on that
+window alone, so each distinct window is scored once: windows are dealt out by the
+two bytes before their symbol, which brings every sequence of order 2 and above
+that bears on a window to its task; orders 0 and 1 are at most 65,792 sequences
+and go along. The scores of the most frequent windows are sent to every task, all
+others are joined by window, aggregated by text first.
 
 The unigram base joins the words of each document with the word counts of all
 training texts. The few most frequent words go along with the tasks, all others
@@ -30,14 +33,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismset.llm.common import id_hash, materialize, worker_cache
+from prismset.llm.common import discard, id_hash, materialize, worker_cache
 from prismset.session import table
 
-#: Context length in bytes, and sequences that the trie keeps of each order.
+#: Context length in bytes.
 ORDER = 5
-MAX_NODES = 1_000_000
-#: Words whose counts are sent to every task.
+#: Words and windows whose counts and scores are sent to every task. The others
+#: are joined, so this changes the cost and never the result.
 HOT_WORDS = 50_000
+HOT_CODES = 1_000_000
+#: Context bytes that windows are dealt out by, and rows of whole contexts of that
+#: length that one trie is made of.
+DEALT = 2
+PIECE = 500_000
 #: Bytes that no UTF-8 text holds: before the first word, after the last.
 START, END = 0xFE, 0xFF
 #: Bytes handled at once by the counting and scoring tasks, and words counted
@@ -91,33 +99,44 @@ def _groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[li
 
 
 def _gather(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
-    """Partial counts of a task: words (word, count) and byte sequences (code, count)."""
+    """Partial counts of a task: words (word, count) and byte sequences (code, count).
+
+    Rows are (text, trained). Of other texts the sequences are told apart from those
+    learnt from, and the words are left out.
+    """
 
     def words_out() -> pa.RecordBatch:
         ws, ns = list(words), list(words.values())
-        return pa.RecordBatch.from_arrays([pa.nulls(len(ws), pa.int64()), pa.array(ws, pa.binary()), pa.array(ns, pa.int64())], ["code", "word", "n"])
+        return pa.RecordBatch.from_arrays([pa.nulls(len(ws), pa.int64()), pa.array(ws, pa.binary()), pa.array(ns, pa.int64()), pa.nulls(len(ws), pa.int64())], ["code", "word", "n", "m"])
 
     def codes_out() -> pa.RecordBatch:
-        c, n = merged()
-        return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)), pa.nulls(len(c), pa.binary()), pa.array(n)], ["code", "word", "n"])
+        c, n, m = merged()
+        return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)), pa.nulls(len(c), pa.binary()), pa.array(n), pa.array(m)], ["code", "word", "n", "m"])
 
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        c, n = np.concatenate([x for x, _ in parts]), np.concatenate([y for _, y in parts])
+    def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        c, n, m = (np.concatenate(x) for x in zip(*parts, strict=True))
         o = np.argsort(c, kind="stable")
-        c, n = c[o], n[o]
+        c, n, m = c[o], n[o], m[o]
         first = np.flatnonzero(np.r_[True, c[1:] != c[:-1]]) if len(c) else np.zeros(0, np.int64)
-        return c[first], np.add.reduceat(n, first) if len(c) else n
+        return (c[first], np.add.reduceat(n, first), np.add.reduceat(m, first)) if len(c) else (c, n, m)
 
     words: Counter[bytes] = Counter()
-    parts: list[tuple[np.ndarray, np.ndarray]] = []
-    for _, _, texts in _groups(batches, 0):
-        for t in texts:
-            words.update(t.split())
-        words[b""] += len(texts)  # the end token
+    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for b, rows, texts in _groups(batches, 0):
+        learnt = b.column(1).take(pa.array(rows)).to_pylist()
+        for is_learnt in (True, False):
+            some = [t for t, x in zip(texts, learnt, strict=True) if x == is_learnt]
+            if not some:
+                continue
+            if is_learnt:
+                for t in some:
+                    words.update(t.split())
+                words[b""] += len(some)  # the end token
+            c, m = _count(windows(some, order)[0])
+            parts.append((c, m if is_learnt else np.zeros_like(m), m))
         if len(words) > WORDS_HELD:
             yield words_out()
             words = Counter()
-        parts.append(_count(windows(texts, order)[0]))
         if len(parts) >= 8:
             parts = [merged()]
             if len(parts[0][0]) > 1_000_000:
@@ -239,42 +258,66 @@ def build(counts: list[tuple[np.ndarray, np.ndarray]], order: int) -> Trie:
     return Trie(order, pairs, nodes, -np.log10(max(1, 256 - seen)))
 
 
-def _counts(codes: DataFrame, order: int, max_nodes: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Counts of each order, at most ``max_nodes`` of them: (sorted codes, counts).
+def _shorter(codes: np.ndarray, n: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of the ends of order ``order`` of longer sequences: (sorted codes, counts)."""
+    ends = codes & np.uint64((1 << 8 * (order + 1)) - 1)
+    o = np.argsort(ends, kind="stable")
+    ends, n = ends[o], n[o]
+    first = np.flatnonzero(np.r_[True, ends[1:] != ends[:-1]]) if len(ends) else np.zeros(0, np.int64)
+    return ends[first], np.add.reduceat(n, first) if len(ends) else n
+
 
-    Shorter sequences are the ends of longer ones, so each order is summed from
-    the one above. One least count holds for all orders, the smallest that fits;
-    with it, the end of a sequence that stays always stays too.
+def _score_windows(batches: Iterator[pa.RecordBatch], low: list[tuple[np.ndarray, np.ndarray]], order: int) -> Iterator[pa.RecordBatch]:
+    """(code, m, lp) of rows (ctx, code, n, m) sorted by ctx, the bytes dealt out by.
+
+    ``low`` has the counts of all training texts of the orders below DEALT. All
+    rows of a ctx are taken together, as they hold all that its tries are made of.
     """
-    levels = {order: codes}
-    for j in range(order - 1, -1, -1):
-        mask = (1 << 8 * (j + 1)) - 1
-        levels[j] = levels[j + 1].groupBy(F.col("code").bitwiseAND(F.lit(mask)).alias("code")).agg(F.sum("n").alias("n"))
-    sizes = materialize(levels[0].select(F.lit(0).alias("j"), "code", "n").unionByName(_union([levels[j].select(F.lit(j).alias("j"), "code", "n") for j in range(1, order + 1)])) if order else levels[0].select(F.lit(0).alias("j"), "code", "n"), "trie")
-    spread = sizes.groupBy("j", F.least("n", F.lit(4096)).alias("n")).agg(F.count("*").alias("m")).toArrow().to_pandas()  # at most 4096 rows an order
-    least = 1
-    for _, one in spread.groupby("j"):
-        one = one.sort_values("n", ascending=False)
-        over = one[one["m"].cumsum() > max_nodes]
-        least = max([least, *(int(x) + 1 for x in over["n"].head(1))])
-    kept = sizes.where(F.col("n") >= least).toArrow().to_pandas() if least <= 4096 else sizes.where(F.col("n") >= least).orderBy(F.desc("n"), "j", "code").limit(max_nodes).toArrow().to_pandas()
-    out = []
-    for j in range(order + 1):
-        one = kept[kept["j"] == j]
-        c, n = one["code"].to_numpy(np.int64).view(np.uint64), one["n"].to_numpy(np.int64)
-        o = np.argsort(c)
-        out.append((c[o], n[o]))
-    return out
 
+    def run(cols: list[np.ndarray]) -> pa.RecordBatch:
+        _, codes, n, m = cols
+        codes = codes.view(np.uint64)
+        learnt = n > 0
+        counts = [(codes[learnt], n[learnt])]
+        for j in range(order, len(low) - 1, -1):
+            counts.insert(0, _shorter(*counts[0], j))
+        lp = build([*low, *counts[:-1]], order).score(codes)
+        return pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(m), pa.array(lp.astype(np.float32))], ["code", "m", "lp"])
+
+    parts: list[list[np.ndarray]] = []
+    held = 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        parts.append([c.to_numpy() for c in b.columns])
+        held += b.num_rows
+        if held < PIECE or parts[0][0][0] == parts[-1][0][-1]:
+            continue
+        cols = [np.concatenate(x) for x in zip(*parts, strict=True)]
+        k = np.searchsorted(cols[0], cols[0][-1])
+        yield run([x[:k] for x in cols])
+        parts = [[x[k:] for x in cols]]
+        held = len(parts[0][0])
+    if parts:
+        yield run([np.concatenate(x) for x in zip(*parts, strict=True)])
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+
+def window_scores(codes: DataFrame, order: int) -> DataFrame:
+    """(code, m, lp) for every window of (code, n, m): n among training texts, m in all texts."""
+    spark = codes.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    low = []
+    for j in range(min(DEALT, order + 1)):
+        one = codes.where("n > 0").groupBy(F.col("code").bitwiseAND(F.lit((1 << 8 * (j + 1)) - 1)).alias("end")).agg(F.sum("n").alias("n")).toArrow().to_pandas()  # at most 256 or 65,536 rows
+        c, n = one["end"].to_numpy(np.int64).view(np.uint64), one["n"].to_numpy(np.int64)
+        o = np.argsort(c)
+        low.append((c[o], n[o]))
+    dealt = codes.select(F.shiftrightunsigned("code", 8).bitwiseAND(F.lit((1 << 8 * DEALT) - 1)).alias("ctx"), "code", "n", "m")
+    dealt = dealt.repartition(parts, "ctx").sortWithinPartitions("ctx")
+    return dealt.mapInArrow(lambda it: _score_windows(it, low, order), "code long, m long, lp float")
 
 
-def lm_score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, held: int = 0, order: int = ORDER, max_nodes: int = MAX_NODES, hot_words: int = HOT_WORDS) -> DataFrame:
+def lm_score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, held: int = 0, order: int = ORDER, hot_words: int = HOT_WORDS, hot_codes: int = HOT_CODES) -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from rows whose id's CRC32 leaves a remainder other than ``held``.
@@ -287,24 +330,41 @@ def lm_score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
     """
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    train = docs.where(F.coalesce(id_hash(F.col("doc_id")), F.lit(0)) % folds != held).select("text")
-    partial = materialize(train.mapInArrow(lambda it: _gather(it, order), "code long, word binary, n long"), "partial")
+    learnt = F.coalesce(id_hash(F.col("doc_id")), F.lit(0)) % folds != held
+    partial = materialize(docs.select("text", learnt.alias("learnt")).mapInArrow(lambda it: _gather(it, order), "code long, word binary, n long, m long"), "partial")
     words = materialize(partial.where("word is not null").groupBy("word").agg(F.sum("n").alias("c")), "words")
-    codes = partial.where("code is not null").groupBy("code").agg(F.sum("n").alias("n"))
+    codes = materialize(partial.where("code is not null").groupBy("code").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "codes")
+    discard(partial)
     total, kinds = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     hot = words.orderBy(F.desc("c"), "word").limit(hot_words).toArrow().to_pandas()  # bounded by hot_words
-    trie = spark.sparkContext.broadcast(build(_counts(codes, order, max_nodes), order))  # bounded by max_nodes
+    lps = materialize(window_scores(codes, order), "windows")
+    discard(codes)
+    size = F.floor(F.log2("m") * 8)
+    spread = lps.groupBy(size.alias("size")).agg(F.count("*").alias("rows")).toArrow().to_pandas().sort_values("size", ascending=False)  # at most 512 rows
+    fits = spread["size"][spread["rows"].cumsum() <= hot_codes]
+    often = lps.where(size >= F.lit(int(fits.min()) if len(fits) else 1 << 20)).select("code", "lp").toArrow()  # bounded by hot_codes
+    slots, at = _table(often.column("code").to_numpy().view(np.uint64))
+    values = np.zeros(len(slots), np.float32)
+    values[at] = often.column("lp").to_numpy()
+    table_ = spark.sparkContext.broadcast((slots, values))
+    del often, slots, at, values
     known = spark.sparkContext.broadcast(dict(zip(hot["word"].map(bytes), hot["c"].tolist(), strict=True)))
     full = total + 0.1 * (kinds + 1)
     run = uuid.uuid4().hex
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each document, and the words that are not among the hot ones."""
-        model, c = trie.value, known.value
+        """A row for each document, and the words and windows that are not among the hot ones."""
+        c, (slots, values) = known.value, table_.value
         logs = worker_cache(("ppm-hot", run), lambda: {w: float(np.log10((n + 0.1) / full)) for w, n in c.items()})
         for b, rows, texts in _groups(batches, 2):
-            codes, sizes = windows(texts, model.order)
-            got = np.add.reduceat(model.score(codes), np.r_[0, np.cumsum(sizes)[:-1]])
+            codes, sizes = windows(texts, order)
+            pos = _find(slots, codes)
+            got = np.add.reduceat(np.where(pos >= 0, values[pos], 0).astype(float), np.r_[0, np.cumsum(sizes)[:-1]])
+            of, cold = np.repeat(np.arange(len(texts)), sizes)[pos < 0], codes[pos < 0]
+            o = np.lexsort((cold, of))
+            of, cold = of[o], cold[o]
+            first = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (cold[1:] != cold[:-1])]) if len(of) else np.zeros(0, np.int64)
+            of, cold, times = of[first], cold[first], np.diff(np.r_[first, len(of)])
             ids = b.column(0).take(pa.array(rows))
             out = [[], [], [], []]
             for t in texts:
@@ -316,23 +376,27 @@ def lm_score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
                 out[2].append(sum(mine))
                 out[3].append(list(rest.items()))
             rare = pa.array([[{"w": w, "k": k} for w, k in r] for r in out[3]], pa.list_(pa.struct([("w", pa.binary()), ("k", pa.int64())])))
-            yield pa.RecordBatch.from_arrays([ids, b.column(1).take(pa.array(rows)), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64()), pa.array(got), rare], ["row", "doc_id", "n_tokens", "known", "base", "score", "rare"])
+            starts = pa.array(np.searchsorted(of, np.arange(len(texts) + 1)).astype(np.int32))
+            far = pa.ListArray.from_arrays(starts, pa.StructArray.from_arrays([pa.array(cold.view(np.int64)), pa.array(times)], ["code", "k"]))
+            yield pa.RecordBatch.from_arrays([ids, b.column(1).take(pa.array(rows)), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64()), pa.array(got), rare, far], ["row", "doc_id", "n_tokens", "known", "base", "score", "rare", "far"])
 
     scored = materialize(
-        docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(score, "row long, doc_id long, n_tokens long, known long, base double, score double, rare array<struct<w:binary,k:long>>"),
+        docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(score, "row long, doc_id long, n_tokens long, known long, base double, score double, rare array<struct<w:binary,k:long>>, far array<struct<code:long,k:long>>"),
         "scored",
     )
     rare = scored.select("row", F.explode("rare").alias("x")).select("row", F.col("x.w").alias("word"), F.col("x.k").alias("k"))
     rare = rare.join(words, "word", "left")
     rare = rare.groupBy("row").agg(F.sum(F.when(F.col("c").isNotNull(), F.col("k")).otherwise(0)).alias("more"), F.sum(F.col("k") * F.log10((F.coalesce("c", F.lit(0)) + 0.1) / F.lit(full))).alias("less"))
-    return scored.drop("rare").join(rare, "row", "left").select(
+    far = scored.select("row", F.explode("far").alias("x")).select("row", "x.code", "x.k").join(lps.select("code", "lp"), "code")
+    far = far.groupBy("row").agg(F.sum(F.col("k") * F.col("lp").cast("double")).alias("far_score"))
+    return scored.drop("rare", "far").join(rare, "row", "left").join(far, "row", "left").select(
         "doc_id",
         (F.coalesce(id_hash(F.col("doc_id")), F.lit(0)) % folds == held).alias("held_out"),
         "n_tokens",
         (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("less", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("far_score", F.lit(0.0))).alias("score"),
     )
 
 

@@ -277,3 +277,48 @@ def test_short_lines_are_joined(spark):
     df = spark.createDataFrame([(2 * k + j, x[: 15 - 2 * j]) for k, x in enumerate(lines) for j in range(2)], "doc_id long, text string")
     got = {r.doc_id: r for r in linededup.line_dedup(df).collect()}
     assert sum(got[2 * k + 1].keep_doc_id == 2 * k for k in range(200)) >= 198
+
+
+def brute_ppm(learnt, text, order):
+    """log10 probability of a text by PPM (method C, exclusion) over the counts of all contexts."""
+    seen = {}
+    for t in learnt:
+        b = bytes([ppm.START]) * order + ppm.normal(t.encode()) + bytes([ppm.END])
+        for i in range(order, len(b)):
+            for j in range(order + 1):
+                one = seen.setdefault(b[i - j : i], {})
+                one[b[i]] = one.get(b[i], 0) + 1
+    b = bytes([ppm.START]) * order + ppm.normal(text.encode()) + bytes([ppm.END])
+    out = 0.0
+    for i in range(order, len(b)):
+        gone = set()
+        for j in range(order, -1, -1):
+            left = {k: n for k, n in seen.get(b[i - j : i], {}).items() if k not in gone}
+            if not left:
+                continue
+            total = sum(left.values()) + len(left)
+            if b[i] in left:
+                out += np.log10(left[b[i]] / total)
+                break
+            out += np.log10(len(left) / total)
+            gone |= set(left)
+        else:
+            out -= np.log10(max(1, 256 - len(seen.get(b"", {}))))
+    return out
+
+
+@pytest.mark.parametrize("order", [0, 1, 2, 5])
+def test_lm_keeps_all_counts(spark, order):
+    """Neither the number of windows held in memory nor their counts change the scores."""
+    from prismset.llm.common import id_hash
+
+    data = [(k, text(k, 30) + f" rare{k * k}x") for k in range(60)] + [(100 + k, "aaaa " * 1500) for k in range(8)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    held = {r.doc_id for r in df.where(id_hash(df.doc_id) % 10 == 0).collect()}
+    learnt = [t for k, t in data if k not in held]
+    assert held and max(t.count("aaaa ") for t in learnt) * 5 > 4096  # such counts once changed the way sequences were chosen
+    for hot in (0, 40, 1_000_000):
+        got = {r.doc_id: r.score for r in ppm.lm_score(df, order=order, hot_codes=hot).collect()}
+        for k, t in data[:65]:
+            if k in held or k % 7 == 0:
+                assert got[k] == pytest.approx(brute_ppm(learnt, t, order), rel=1e-4), (order, hot, k)
