@@ -1,7 +1,8 @@
 """The image pipeline: scan, validate, deduplicate, filter, split, resize, augment, write.
 
 Each stage is a DataFrame; nothing runs before a report or a writer asks for it.
-Images and labels are matched by their path without extension.
+Images and labels are matched by their path without extension, those of COCO files
+by file name within the subfolder.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -35,16 +36,50 @@ def scan(spark: SparkSession, config: dict) -> DataFrame:
         images = images.where(~P.is_variant(p))
     images = images.withColumns({"subfolder": P.subfolder(p, root), "stem": P.stem(p), "provenance": P.provenance(p), "key": F.regexp_replace(p, r"\.[^./]*$", "")})
     labels = config.get("input", {}).get("yolo_labels_dir")
-    text = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(labels or root)
-    text = text.select(F.regexp_replace(F.url_decode("path"), "^file:/+", "/").alias("lpath"), F.col("content").cast("string").alias("content")).where(~P.name(F.col("lpath")).isin(A.NOT_LABELS))
-    key = P.stem(F.col("lpath")) if labels else F.regexp_replace("lpath", r"\.[^./]*$", "")
-    text = text.withColumn("lkey", key).groupBy("lkey").agg(F.max_by("content", "lpath").alias("content"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt" if labels else "*.{txt,xml,json}").load(labels or root)
+    files = files.select(F.regexp_replace(F.url_decode("path"), "^file:/+", "/").alias("lpath"), F.col("content").cast("string").alias("content")).where(~P.name(F.col("lpath")).isin(A.NOT_LABELS))
+    l = F.col("lpath")
+    files = files.withColumns({"lkey": P.stem(l) if labels else F.regexp_replace(l, r"\.[^./]*$", ""), "ext": P.extension(l)})
+    if not labels:
+        files = files.withColumns({"folder": P.subfolder(l, root), "name": P.name(l)})
+        files = files.join(A.detect(files.select(F.col("folder").alias("subfolder"), "name", "content")).withColumnRenamed("subfolder", "folder"), "folder")
+    text = files.where("ext = 'txt'") if labels else files.where("ext = 'txt' AND fmt NOT IN ('coco_json', 'voc_xml')")
+    text = text.groupBy("lkey").agg(F.max_by("content", "lpath").alias("content"))
     lines = text.select("lkey", F.explode(F.split("content", "\n")).alias("line"))
     found = A.yolo_strict(lines, "line", list(config["classes"])).groupBy("lkey").agg(F.collect_list(F.struct("class_id", *"xywh")).alias("boxes"))
     text = text.select("lkey").join(found, "lkey", "left")
-    out = images.join(text, F.col("stem" if labels else "key") == F.col("lkey"), "left")
-    out = out.withColumn("status", F.when(F.col("corrupted"), "corrupted").when(F.col("lkey").isNull(), "unannotated").when(F.col("boxes").isNull(), "invalid_annotation").otherwise("valid"))
-    return out.withColumn("boxes", F.coalesce("boxes", F.array().cast(BOX))).drop("lkey")
+    out = images.join(text, F.col("stem" if labels else "key") == F.col("lkey"), "left").withColumn("labelled", F.col("lkey").isNotNull()).drop("lkey")
+    if not labels:
+        out = _with_coco(_with_voc(out, files, config), files, config)
+    out = out.withColumn("status", F.when(F.col("corrupted"), "corrupted").when(~F.col("labelled"), "unannotated").when(F.coalesce(F.size("boxes"), F.lit(0)) <= 0, "invalid_annotation").otherwise("valid"))
+    return out.withColumn("boxes", F.coalesce("boxes", F.array().cast(BOX))).drop("labelled")
+
+
+def _with_voc(images: DataFrame, files: DataFrame, config: dict) -> DataFrame:
+    """``images`` with the boxes of the VOC file beside each, in subfolders of that format."""
+    xml = files.where("ext = 'xml' AND fmt = 'voc_xml'").select(F.col("lkey").alias("key"), F.col("content").alias("_xml"))
+    out = images.join(xml, "key", "left").withColumnsRenamed({"boxes": "_boxes"})
+    out = A.voc_boxes(out, "_xml", {v: k for k, v in config["classes"].items()}, F.col("width"), F.col("height"))
+    has = F.col("_xml").isNotNull()
+    return out.withColumns({"boxes": F.when(has, F.col("boxes")).otherwise(F.col("_boxes")), "labelled": has | F.col("labelled")}).drop("_xml", "_boxes", "valid", "error")
+
+
+def _with_coco(images: DataFrame, files: DataFrame, config: dict) -> DataFrame:
+    """``images`` with the boxes of their subfolder's COCO files, by file name, else by stem."""
+    docs = files.where("ext = 'json' AND fmt = 'coco_json'").select("lpath", "folder", "content")
+    listed = docs.select("lpath", "folder", F.inline(F.from_json("content", A.COCO)["images"])).select("lpath", "folder", "file_name").distinct()
+    found = A.coco_boxes(docs, "lpath", "content", {v: k for k, v in config["classes"].items()})
+    found = found.groupBy("lpath", "file_name").agg(F.collect_list(F.struct("class_id", *"xywh")).alias("boxes"))
+    listed = listed.join(found, ["lpath", "file_name"], "left").withColumn("boxes", F.coalesce("boxes", F.array().cast(BOX)))
+    f = F.col("file_name")
+
+    def by(key: Column, name: str) -> DataFrame:
+        # of several files that list an image, the first with boxes counts
+        return listed.groupBy(F.col("folder").alias("subfolder"), key.alias(name)).agg(F.min_by("boxes", F.struct(F.size("boxes") == 0, "lpath", "file_name")).alias(f"_{name}"))
+
+    out = images.withColumn("file", P.name(F.col("path"))).join(by(P.name(f), "file"), ["subfolder", "file"], "left").join(by(P.stem(f), "stem"), ["subfolder", "stem"], "left")
+    coco = F.coalesce("_file", "_stem")
+    return out.withColumns({"boxes": F.coalesce(coco, "boxes"), "labelled": coco.isNotNull() | F.col("labelled")}).drop("file", "_file", "_stem")
 
 
 def score(images: DataFrame, config: dict) -> DataFrame:

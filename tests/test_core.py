@@ -143,6 +143,29 @@ def test_image_pipeline(spark, tmp_path):
         dataset.run(spark, c)
 
 
+def test_scan_reads_each_subfolder_in_its_format(spark, tmp_path):
+    png = pixels.png(np.random.default_rng(1).integers(0, 255, (40, 60, 3)).astype(np.uint8))
+    for d, names in {"voc": "abc", "coco": "abcd", "yolo": "ab"}.items():
+        (tmp_path / d / "deep").mkdir(parents=True)
+        for n in names:
+            (tmp_path / d / "deep" / f"{n}.png").write_bytes(png)
+    size = "<size><width>60</width><height>40</height></size>"
+    one = "<object><name>{}</name><bndbox><xmin>6</xmin><ymin>4</ymin><xmax>30</xmax><ymax>20</ymax></bndbox></object>"
+    name = GOOD["classes"][0]
+    (tmp_path / "voc/deep/a.xml").write_text(f"<annotation>{size}{one.format(name)}</annotation>")
+    (tmp_path / "voc/deep/b.xml").write_text(f"<annotation>{size}{one.format('other')}</annotation>")
+    (tmp_path / "yolo/deep/a.txt").write_text("0 0.3 0.3 0.4 0.4\n")
+    coco = {"images": [{"id": k, "file_name": f, "width": 60, "height": 40} for k, f in enumerate(["a.png", "b.jpg", "c.png"])], "categories": [{"id": 7, "name": name}]}
+    coco["annotations"] = [{"image_id": k, "category_id": 7, "bbox": [6, 4, 24, 16]} for k in range(2)]
+    (tmp_path / "coco/all.json").write_text(json.dumps(coco))
+    got = {(r.subfolder, r.stem): r for r in dataset.scan(spark, {"input_path": str(tmp_path), "classes": {0: name}}).select("subfolder", "stem", "status", "boxes").collect()}
+    want = {("voc", "a"): "valid", ("voc", "b"): "invalid_annotation", ("voc", "c"): "unannotated", ("yolo", "a"): "valid", ("yolo", "b"): "unannotated"}
+    want |= {("coco", "a"): "valid", ("coco", "b"): "valid", ("coco", "c"): "invalid_annotation", ("coco", "d"): "unannotated"}
+    assert {k: r.status for k, r in got.items()} == want
+    for k, status in want.items():
+        assert [tuple(b) for b in got[k].boxes] == ([pytest.approx((0, 0.3, 0.3, 0.4, 0.4))] if status == "valid" else [])
+
+
 def test_label_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.txt").write_text("0 .5 .5 .1 .1\nbad\n")
