@@ -20,6 +20,10 @@ from prismset.llm.common import discard, materialize
 
 #: Edges that one union-find pass holds at once.
 CHUNK_EDGES = 1_000_000
+#: Edges that make a node a hub at least; hubs that are sent to every task at most
+#: (about: a table has twice its rows over the bound as hubs).
+HUB_ROWS = 200
+MAX_HUBS = 50_000
 
 
 class UnionFind:
@@ -71,18 +75,29 @@ def local_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield stars()
 
 
-def _to_min(e: DataFrame) -> DataFrame:
+def _onto_least(rows: DataFrame, least: DataFrame, hub: int) -> DataFrame:
+    """``rows`` (u, v) with the ``m`` of their u from ``least`` (u, m, n).
+
+    Nodes with over ``hub`` rows, of which there are only few, are looked up in each
+    task, so that their rows do not meet in one.
+    """
+    hubs = F.broadcast(least.where(F.col("n") > hub).select("u", "m"))  # at most rows / hub, see components
+    others = rows.join(hubs.select("u"), "u", "left_anti").join(least.where(F.col("n") <= hub).select("u", "m"), "u")
+    return rows.join(hubs, "u").unionByName(others)
+
+
+def _to_min(e: DataFrame, hub: int) -> DataFrame:
     """Small star: each node and its smaller neighbours point at the smallest of them."""
-    least = e.groupBy("u").agg(F.min("v").alias("m"))
-    moved = e.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = e.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    moved = _onto_least(e, least, hub).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _spread(e: DataFrame) -> DataFrame:
+def _spread(e: DataFrame, hub: int) -> DataFrame:
     """Large star: the larger neighbours of each node point at its smallest neighbour."""
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+    return _onto_least(both.where("v > u"), least, hub).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
@@ -102,6 +117,9 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
             return held.select(F.col("u").alias("id"), F.col("v").alias("component_id")).distinct().unionByName(
                 held.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct()
             )
-        old, held = held, materialize(_to_min(_spread(held)), "links")
+        hub = max(HUB_ROWS, held.count() // MAX_HUBS)
+        wide = materialize(_spread(held, hub), "links")
+        old, held = held, materialize(_to_min(wide, hub), "links")
+        discard(wide)
         discard(old)
     raise RuntimeError("the components did not settle")

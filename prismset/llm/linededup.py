@@ -1,19 +1,14 @@
 """Fuzzy line deduplication by MinHash.
 
-Lines are compared by the sets of their character shingles. MinHash signatures
-are cut into bands; lines that share a band meet in its bucket. In a first round
-every line of a bucket is compared with the bucket's first one only. Lines that
-this leaves in different components of one bucket are compared with each other
-in a second round, so dense buckets cost about their size and no pair of similar
-lines that shares a band is lost. Links are verified by exact Jaccard similarity
-of the shingle sets; components come from distributed union-find.
-
-Equal lines are one node, named by the XXH64 of the normalised line.
+Lines are compared by the sets of their character shingles: MinHash signatures
+with high-recall bands, exact Jaccard similarity of the candidates, components by
+distributed union-find (see ``minhash``). Equal lines are one node, named by the
+XXH64 of the normalised line.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prismset.llm.common import discard, materialize
-from prismset.llm.components import UnionFind, components
+from prismset.llm.minhash import GOLDEN, among, band_keys, bitmap, candidates, linked, one_each
 from prismset.session import table
 
 SHINGLE = 6
@@ -32,16 +27,21 @@ SIMILARITY = 0.8
 BANDS = 15
 ROWS = 5
 #: Line ids that a task remembers so as not to hand on a line twice, characters
-#: signed at once, lines of a bucket that one task compares with as many others.
+#: signed at once.
 SEEN = 400_000
-CHARS = 1 << 19
-BLOCK = 1000
-PRIME = np.uint64(0x100000001B3)
+CHARS = 1 << 18
+#: White space that a run of may be more than the one space between words.
+ODD = (b"  ", b"\t", b"\r", b"\x0b", b"\x0c")
 
 
 def normal_lines(text: bytes | None) -> list[bytes]:
     """Lines of a text, ASCII-lower-cased, runs of white space as one space."""
-    return [b" ".join(x.split()) for x in (text or b"").lower().split(b"\n")] if text is not None else []
+    if text is None:
+        return []
+    text = text.lower()
+    if any(x in text for x in ODD):
+        return [b" ".join(x.split()) for x in text.split(b"\n")]
+    return [x.strip(b" ") for x in text.split(b"\n")]
 
 
 def line_id(line: bytes) -> int:
@@ -49,72 +49,49 @@ def line_id(line: bytes) -> int:
 
 
 def shingles(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all shingles of all lines (a shorter line is one shingle); first of each line."""
-    points = [np.frombuffer(x.decode("utf-8", "replace").encode("utf-32-le", "surrogatepass"), "<u4") for x in lines]
-    points = [p if len(p) >= SHINGLE else np.r_[p, np.zeros(SHINGLE - len(p), "<u4")] for p in points]
-    buf = np.concatenate(points).astype(np.uint64)
-    n = np.array([len(p) for p in points], np.int64)
-    code = np.zeros(len(buf) - SHINGLE + 1, np.uint64)
-    for k in range(SHINGLE):
-        code = code * PRIME + (buf[k : len(buf) - SHINGLE + 1 + k] + np.uint64(1))
-    code ^= code >> np.uint64(29)
-    code *= np.uint64(0xBF58476D1CE4E5B9)
-    code ^= code >> np.uint64(32)
-    keep = np.ones(len(code), bool)
+    """Codes of all shingles of all lines (a shorter line is one shingle); first of each line.
+
+    A shingle of characters below U+0400 is its code, ten bits for each; others
+    are told apart by a 63-bit hash.
+    """
+    texts = [x.decode("utf-8", "replace") for x in lines]
+    texts = [t if len(t) >= SHINGLE else t.ljust(SHINGLE, "\0") for t in texts]
+    buf = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    n = np.array([len(t) for t in texts], np.int64)
+    m = len(buf) - SHINGLE + 1
+    two = buf[:-1] << np.uint64(10) | buf[1:]
+    code = two[:m] << np.uint64(40) | two[2 : m + 2] << np.uint64(20) | two[4 : m + 4]
+    wide = buf >> np.uint64(10) != 0
+    if wide.any():
+        some, h = np.zeros(m, bool), np.zeros(m, np.uint64)
+        for k in range(SHINGLE):
+            some |= wide[k : m + k]
+            h = (h ^ buf[k : m + k]) * GOLDEN
+            h ^= h >> np.uint64(29)
+        code[some] = h[some] | np.uint64(1 << 63)
+    keep = np.ones(m, bool)
     ends = np.cumsum(n)[:-1]
     for k in range(1, SHINGLE):
         keep[ends - k] = False
     return code[keep], np.r_[0, np.cumsum(n - SHINGLE + 1)[:-1]]
 
 
-def band_keys(code: np.ndarray, first: np.ndarray, count: int, rows: int) -> np.ndarray:
-    """(set, band) keys from MinHash signatures of ``count`` times ``rows`` permutations.
-
-    ``code`` holds the hashed members of all sets, ``first`` where each set begins;
-    no set is empty. Every value has a permutation of its own, whatever the size of
-    the set, so a pair at Jaccard j shares a band with 1 - (1 - j^rows)^count.
-    """
-    low = (code >> np.uint64(16)).astype(np.uint32)
-    odd = np.random.default_rng(20).integers(0, 1 << 31, (count, rows), np.uint32) * np.uint32(2) + np.uint32(1)
-    out = np.zeros((len(first), count), np.uint64)
-    for b in range(count):
-        key = np.full(len(first), b + 1, np.uint64)
-        for r in range(rows):
-            key = (key ^ np.minimum.reduceat(low * odd[b, r], first)) * np.uint64(0x9E3779B97F4A7C15)
-            key ^= key >> np.uint64(31)
-        out[:, b] = key
-    return out
+def code_sets(lines: list[bytes]) -> list[np.ndarray]:
+    """Shingle codes of each line."""
+    code, first = shingles(lines)
+    return np.split(code, first[1:])
 
 
 def bands(lines: list[bytes]) -> np.ndarray:
     """(line, band) keys of the whole lines."""
-    return band_keys(*shingles(lines), BANDS, ROWS)
-
-
-def code_set(line: bytes) -> frozenset[str]:
-    """The distinct shingles of a line; a shorter line is one shingle."""
-    text = line.decode("utf-8", "replace")
-    return frozenset(text[i : i + SHINGLE] for i in range(max(1, len(text) - SHINGLE + 1)))
-
-
-def jaccard(a: frozenset[str], b: frozenset[str]) -> float:
-    both = len(a & b)
-    return both / (len(a) + len(b) - both)
-
-
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        ids, nos, keys = [], [], []
-        for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            lines = normal_lines(t.as_py())
-            ids += [i] * len(lines)
-            nos += range(len(lines))
-            keys += [line_id(x) if x else None for x in lines]
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(nos, pa.int32()), pa.array(keys, pa.int64())], ["doc_id", "line_no", "id"])
+    code, first = shingles(lines)
+    code = (code ^ code >> np.uint64(31)) * GOLDEN
+    code ^= code >> np.uint64(29)
+    return band_keys(code * np.uint64(0xBF58476D1CE4E5B9), first, BANDS, ROWS)
 
 
-def _new_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[bytes]]]:
-    """Lines that this task hasn't handed on lately, some CHARS at a time."""
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, band keys) of lines that this task hasn't signed lately, some CHARS at a time."""
     seen: set[int] = set()
     ids, lines, size = [], [], 0
     for b in batches:
@@ -126,128 +103,34 @@ def _new_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], l
                     lines.append(x)
                     size += len(x)
                     if size >= CHARS:
-                        yield ids, lines
+                        yield np.array(ids, np.int64), bands(lines)
                         ids, lines, size = [], [], 0
         if len(seen) > SEEN:
             seen = set()
     if ids:
-        yield ids, lines
-
-
-def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, lines in _new_lines(batches):
-        keys = bands(lines).ravel().view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(np.array(ids, np.int64), BANDS))], ["band", "id"])
-
-
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, lines in _new_lines(batches):
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lines, pa.binary())], ["id", "line"])
-
+        yield np.array(ids, np.int64), bands(lines)
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(band, id, first) of bands with several lines, from rows sorted by band and id."""
-    band = prev = first = None
-    several = False
-    for b in batches:
-        out: tuple[list, list, list] = ([], [], [])
-        k, i = b.column(0).to_numpy(), b.column(1).to_numpy()
-        # only rows next to one of the same band matter; the first and last carry over
-        near = np.ones(len(k), bool)
-        if len(k) > 2:
-            near[1:-1] = (k[1:-1] == k[:-2]) | (k[1:-1] == k[2:])
-        for x, y in zip(k[near].tolist(), i[near].tolist(), strict=True):
-            if x != band:
-                band, first, prev, several = x, y, y, False
-            elif y != prev:
-                if not several:
-                    several = True
-                    for c, v in zip(out, (band, first, first), strict=True):
-                        c.append(v)
-                for c, v in zip(out, (band, y, first), strict=True):
-                    c.append(v)
-                prev = y
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["band", "id", "first"])
-
-
-def _verify(batches: Iterator[pa.RecordBatch], similarity: float, codes: Callable[[bytes], frozenset]) -> Iterator[pa.RecordBatch]:
-    """Links among pairs (a, b, text of a, text of b)."""
-    last, mine = None, frozenset()
-    for b in batches:
-        hit = []
-        for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-            if x != last:
-                last, mine = x, codes(x)
-            hit.append(similarity * len(mine) <= len(y) and jaccard(mine, codes(y)) >= similarity)
-        yield pa.RecordBatch.from_arrays([b.column(j).filter(pa.array(hit, pa.bool_())) for j in range(2)], ["a", "b"])
-
-
-def _compare(batches: Iterator[pa.RecordBatch], similarity: float, codes: Callable[[bytes], frozenset]) -> Iterator[pa.RecordBatch]:
-    """Links within sorted groups (band, i, j) of (asks, id, comp, line) rows."""
 
-    def links() -> Iterator[tuple[int, int]]:
-        uf = UnionFind()
-        sets = {k: codes(x) for k, x in {r[1]: r[3] for r in rows}.items()}
-        groups: dict[int, list[int]] = {}  # of the others, by component
-        for r in rows:
-            if not r[0]:
-                groups.setdefault(r[2], []).append(r[1])
-        for _, k, comp, _ in (r for r in rows if r[0]):
-            mine, own = sets[k], uf.find(comp)
-            least, most = similarity * len(mine), len(mine) / similarity
-            for root in list(groups):
-                if root == own or root not in groups:
-                    continue
-                o = next((o for o in groups[root] if least <= len(sets[o]) <= most and jaccard(mine, sets[o]) >= similarity), None)
-                if o is not None:  # one link joins the whole component
-                    yield k, o
-                    uf.union(own, root)
-                    both = groups.pop(root) + groups.pop(own, [])
-                    own = uf.find(own)
-                    groups[own] = both
-
-    rows: list[tuple] = []
-    last = None
+def _occurrences(batches: Iterator[pa.RecordBatch], held: tuple[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, line_no, id, line); the line itself only where the bitmap has it, once in a while."""
+    seen: set[int] = set()
     for b in batches:
-        found = []
-        for band, i, j, *r in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if (band, i, j) != last:
-                found += links()
-                rows, last = [], (band, i, j)
-            rows.append(tuple(r))
-        yield _pairs(found)
-    yield _pairs(list(links()))
-
-
-def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([p[j] for p in found], pa.int64()) for j in range(2)], ["a", "b"])
-
-
-def linked(members: DataFrame, texts: DataFrame, similarity: float, codes: Callable[[bytes], frozenset]) -> DataFrame:
-    """Components (id, component_id) of verified links among candidates.
-
-    ``members`` are (band, id, first): rows of one band are candidates of each
-    other, ``first`` is the one of them that the first round compares with.
-    ``texts`` are (id, line), ``codes`` gives the set that a text is compared by.
-    """
-    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = members.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    pairs = pairs.join(texts.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b").join(texts.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
-    near = materialize(pairs.select("a", "b", "line_a", "line_b").mapInArrow(lambda it: _verify(it, similarity, codes), "a long, b long"), "near")
-    once = materialize(components(near), "once")
-
-    named = members.join(once, "id", "left").select("band", "id", F.coalesce("component_id", "id").alias("comp"))
-    open_ = named.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("n")).where("x < y AND n > 2")  # of two, the first round has compared all
-    open_ = open_.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).select("band", "blocks")
-    rest = named.join(open_, "band").join(texts, "id").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    asks = rest.select("band", F.col("mine").alias("i"), every.alias("j"), F.lit(True).alias("asks"), "id", "comp", "line")
-    told = rest.select("band", every.alias("i"), F.col("mine").alias("j"), F.lit(False).alias("asks"), "id", "comp", "line")
-    dealt = asks.unionByName(told).where("i <= j").repartition(n, "band", "i", "j").sortWithinPartitions("band", "i", "j")
-    more = materialize(dealt.mapInArrow(lambda it: _compare(it, similarity, codes), "a long, b long"), "more")
-    joined = components(near.unionByName(more))
-    discard(once)
-    return joined
+        ids, nos, keys, texts = [], [], [], []
+        for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            lines = normal_lines(t.as_py())
+            ids += [i] * len(lines)
+            nos += range(len(lines))
+            keys += [line_id(x) if x else None for x in lines]
+            texts += lines
+        mine = among(np.array([k or 0 for k in keys], np.int64), held)
+        for k in range(len(texts)):
+            if mine[k] and keys[k] is not None and keys[k] not in seen:
+                seen.add(keys[k])
+            else:
+                texts[k] = None
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(nos, pa.int32()), pa.array(keys, pa.int64()), pa.array(texts, pa.binary())], ["doc_id", "line_no", "id", "line"])
+        if len(seen) > SEEN:
+            seen = set()
 
 
 def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -261,28 +144,31 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     id sorts first. Rows repeated under one id hold their lines together. An
     empty table gives an empty result.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    lines = materialize(docs.mapInArrow(_occurrences, "doc_id long, line_no int, id long"), "lines")
-    banded = docs.select("text").mapInArrow(_banded, "band long, id long").repartition(n, "band").sortWithinPartitions("band", "id")
-    members = materialize(banded.mapInArrow(_members, "band long, id long, first long"), "members")
+    members = candidates(docs.select("text"), _signed, "members")
     wanted = members.select("id").distinct()
-    texts = materialize(docs.select("text").mapInArrow(_texts, "id long, line binary").join(wanted, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line")), "texts")
-
-    joined = linked(members, texts, similarity, code_set)
-
-    first = lines.where("id is not null").groupBy("id").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n"))
-    first = first.join(joined, "id", "left").select("id", "first", "n", F.coalesce("component_id", "id").alias("root"))
+    held = df.sparkSession.sparkContext.broadcast(bitmap(wanted))  # of a bounded size
+    lines = materialize(docs.mapInArrow(lambda it: _occurrences(it, held.value), "doc_id long, line_no int, id long, line binary"), "lines")
+    texts = materialize(one_each(lines.where("line IS NOT NULL").select("id", "line"), wanted), "texts")
+    joined = linked(members, texts, similarity, code_sets)
+    discard(members)
+    discard(texts)
+
+    # lines that occur once and are linked with no other are left out of the groups
+    place = F.struct("doc_id", "line_no")
+    first = lines.where("id IS NOT NULL").groupBy("id").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    first = first.join(joined, "id", "left").where("n > 1 OR component_id IS NOT NULL").select("id", "first", "n", F.coalesce("component_id", "id").alias("root"))
     groups = first.groupBy("root").agg(F.min("first").alias("keep"), F.sum("n").alias("group_size"))
-    by_id = first.join(groups, "root").select("id", "keep", "group_size")
-    out = lines.join(by_id, "id", "left").select("doc_id", "line_no", F.coalesce("keep", F.struct("doc_id", "line_no")).alias("keep"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"))
+    by_id = first.select("id", "root").join(groups, "root").select("id", "keep", "group_size")
+    out = lines.where("id IS NOT NULL").select("doc_id", "line_no", "id").join(by_id, "id", "left").select("doc_id", "line_no", F.coalesce("keep", place).alias("keep"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"))
+    out = out.unionByName(lines.where("id IS NULL").select("doc_id", "line_no", place.alias("keep"), F.lit(1).cast("long").alias("group_size")))
     return out.select(
         "doc_id",
         "line_no",
         F.col("keep.doc_id").alias("keep_doc_id"),
         F.col("keep.line_no").alias("keep_line_no"),
         "group_size",
-        F.struct("doc_id", "line_no").eqNullSafe(F.col("keep")).alias("kept"),
+        place.eqNullSafe(F.col("keep")).alias("kept"),
     )
 
 

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from prismset.llm import chat, embeddings, exactdedup, langid, linededup, mixing, packing, ppm, quality, simhash
+from prismset.llm import chat, components, embeddings, exactdedup, langid, linededup, minhash, mixing, packing, ppm, quality, simhash
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = "the quick brown fox jumps over a lazy dog while seven old sailors watch the rising tide of grey water".split()
@@ -229,6 +229,19 @@ def test_vectors(spark):
     assert embeddings.near_embeddings(df.limit(0)).count() == 0
 
 
+def chars(line):
+    """The distinct six-character shingles of a line, as text."""
+    text = line.decode() if isinstance(line, bytes) else line
+    return frozenset(text[i : i + 6] for i in range(max(1, len(text) - 5)))
+
+
+def roots(n, edges):
+    uf = components.UnionFind()
+    for a, b in edges:
+        uf.union(a, b)
+    return [uf.find(k) for k in range(n)]
+
+
 def test_second_round_joins_what_brute_force_joins():
     import pyarrow as pa
 
@@ -246,17 +259,68 @@ def test_second_round_joins_what_brute_force_joins():
     comp = [k if k % 7 else max(0, k - 1) for k in ids]
     blocks = [(i, j) for i in range(3) for j in range(i, 3)]
     found = [(1, i, j, asks, k, comp[k], lines[k]) for i, j in blocks for asks, b in ((True, i), (False, j)) for k in ids if k % 3 == b]
-    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], ["band", "i", "j", "asks", "id", "comp", "line"])
-    links = [p for o in linededup._compare(iter([batch]), 0.8, linededup.code_set) for p in zip(o.column(0).to_pylist(), o.column(1).to_pylist(), strict=True)]
-    sets = [linededup.code_set(x) for x in lines]
-
-    def roots(edges):
-        uf = linededup.UnionFind()
-        for a, b in [*enumerate(comp), *edges]:
-            uf.union(a, b)
-        return [uf.find(k) for k in ids]
-
-    assert roots(links) == roots([(i, j) for i in ids for j in ids[:i] if linededup.jaccard(sets[i], sets[j]) >= 0.8])
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], ["grp", "i", "j", "asks", "id", "comp", "line"])
+    links = [p for o in minhash._compare(iter([batch]), 0.8, linededup.code_sets) for p in zip(o.column(0).to_pylist(), o.column(1).to_pylist(), strict=True)]
+    sets = [chars(x) for x in lines]
+    near = [(i, j) for i in ids for j in ids[:i] if minhash.jaccard(sets[i], sets[j]) >= 0.8]
+    assert roots(len(ids), [*enumerate(comp), *links]) == roots(len(ids), [*enumerate(comp), *near])
+
+
+def test_overlaps():
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 9000, int(rng.integers(1, 6000)))) for _ in range(12)]
+    a, b = np.arange(0, 7), np.arange(3, 12)
+    got = minhash.overlaps(sets, a, b)
+    assert all(got[i, k] == len(np.intersect1d(sets[i], sets[j])) for i in a for k, j in enumerate(b) if i != j)
+
+
+def test_shingle_codes_tell_shingles_apart():
+    lines = ["naïve café ab", "ab", "日本語のテキスト 123 日本語のテキスト", "😀😀😀😀😀😀😀x", "plain text, plain text", "éé", "ab\0\0\0\0c"]
+    code, first = linededup.shingles([x.encode() for x in lines])
+    every = [t for x in lines for t in ([x.ljust(6, "\0")] if len(x) < 6 else [x[i : i + 6] for i in range(len(x) - 5)])]
+    assert len(code) == len(every) and dict(zip(every, code.tolist(), strict=True)) == {t: c for t, c in zip(every, code.tolist(), strict=True)}
+    assert len(set(code.tolist())) == len(set(every)) and len(first) == len(lines)
+
+
+def test_sorting_spills():
+    rng = np.random.default_rng(9)
+    blocks = [rng.integers(-50, 50, (200, 2)) for _ in range(40)]
+    want = sorted({tuple(r) for x in blocks for r in x.tolist()})
+    for most in (100, 3000, 10**6):
+        got = [x for x in minhash._sorted(iter(blocks), most) if len(x)]
+        assert sorted(tuple(r) for x in got for r in x.tolist()) == want and sum(map(len, got)) == len(want)
+        bands = [set(x[:, 0].tolist()) for x in got]
+        assert sum(map(len, bands)) == len(set().union(*bands))
+
+
+def test_lines_equal_brute_force(spark):
+    """Planted groups of similar lines of 12 to 40 characters, and all lines of a small table."""
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    lines = []
+    for n in (12, 16, 20, 25, 30, 40):
+        for _ in range(60):
+            base = "".join(rng.choice(letters, n))
+            cut = int(np.ceil(0.8 * (n - 5))) + 5
+            lines += [base, base[:cut] if rng.random() < 0.5 else base[n - cut :]]
+    sets = [chars(x) for x in lines]
+    near = [(i, j) for i in range(len(lines)) for j in range(i) if minhash.jaccard(sets[i], sets[j]) >= 0.8]
+    assert len(near) >= len(lines) // 2
+    want = roots(len(lines), near)
+    rows = [(k, x) for k, x in enumerate(lines)]
+    got = {r.doc_id: r.keep_doc_id for r in linededup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[k] == want[k] for k in got) >= 0.99 * len(lines)
+
+
+def test_lines_of_odd_rows(spark):
+    """Null ids, repeated rows, a very long line, clashing column names."""
+    long = text(5, 40_000)
+    data = [(None, "alpha beta gamma delta\nsecond"), (3, "alpha beta gamma delta"), (3, "alpha beta gamma delta"), (4, long + "\nshort"), (5, long + " more"), (6, "\t Alpha  beta gamma\tdelta\r\n\n")]
+    df = spark.createDataFrame([(*r, 1, "x", 2) for r in data], "doc_id long, text string, id int, line string, grp int")
+    got = linededup.line_dedup(df).collect()
+    at = {(r.doc_id, r.line_no): r for r in got}
+    assert len(got) == 10 and at[None, 0].kept and at[3, 0].keep_doc_id is None and at[3, 0].group_size == 4 and not at[6, 0].kept
+    assert (at[5, 0].keep_doc_id, at[5, 0].keep_line_no) == (4, 0) and at[4, 1].kept and at[6, 1].kept and at[6, 2].kept
 
 
 def test_short_similar_lines_share_a_band():
@@ -267,7 +331,7 @@ def test_short_similar_lines_share_a_band():
         k = int(np.ceil(0.8 * n))
         lines = ["".join(rng.choice(letters[:26], n + linededup.SHINGLE - 1)).encode() for _ in range(1000)]
         cut = [x[: k + linededup.SHINGLE - 1] for x in lines]
-        assert all(linededup.jaccard(linededup.code_set(x), linededup.code_set(y)) >= 0.8 for x, y in zip(lines, cut, strict=True))
+        assert all(minhash.jaccard(chars(x), chars(y)) >= 0.8 for x, y in zip(lines, cut, strict=True))
         assert (linededup.bands(lines) == linededup.bands(cut)).any(axis=1).mean() >= 0.99
 
 
