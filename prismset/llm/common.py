@@ -21,14 +21,17 @@ WORD_RE = r"[^\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share for written intermediate tables.
 
-    It is the one named by ``spark.checkpoint.dir``; only where a session names
-    none (tests, a laptop) a temporary folder of this machine is set instead.
+    It is the one named by ``spark.checkpoint.dir``. A local session (tests, a
+    laptop) that names none gets a temporary folder of its machine; on a cluster
+    that would lose files, so there it is an error.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isEmpty():
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="prismset-"))
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
     return held.get().rstrip("/")
@@ -57,6 +60,11 @@ def discard(df: DataFrame | None) -> None:
         where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def row_key(df: DataFrame) -> Column:
+    """A 64-bit name of a row's whole content; rows that agree in all columns share it."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def id_hash(doc_id: Column) -> Column:
     """CRC32 of the id written as text, as the fold rules use it."""
     return F.crc32(doc_id.cast("string").cast("binary"))

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismset.llm.common import SPACE, materialize
+from prismset.llm.common import SPACE, materialize, row_key
 from prismset.session import table
 
 #: Bytes of content that one table holds before it is emptied or spilled.
@@ -37,22 +37,27 @@ FAN_OUT = 16
 MAX_LEVEL = 12
 
 
+#: What copies are ordered by: minus the code points of the original text, whether
+#: the id is null, the id (0 if null), the row's key.
+Rank = tuple[int, bool, int, int]
+
+
 class Entry:
     """A distinct content with its copies so far."""
 
-    __slots__ = ("best_id", "best_n", "content", "count", "hash", "number", "parts")
+    __slots__ = ("best", "content", "count", "hash", "number", "parts")
 
     def __init__(self, hash_: int, content: bytes, number: int) -> None:
         self.hash, self.content, self.number = hash_, content, number
-        self.count, self.best_n, self.best_id = 0, -1, None
+        self.count = 0
+        self.best: Rank | None = None
         self.parts: list[int] = []
 
-    def add(self, count: int, n: int, id_: int | None) -> None:
-        """Count copies; the longest original text, then the smallest id, leads."""
+    def add(self, count: int, best: Rank) -> None:
+        """Count copies; the first by rank leads."""
         self.count += count
-        mine = self.best_id
-        if n > self.best_n or (n == self.best_n and id_ is not None and (mine is None or id_ < mine)):
-            self.best_n, self.best_id = n, id_
+        if self.best is None or best < self.best:
+            self.best = best
 
 
 class OpenTable:
@@ -88,7 +93,7 @@ class OpenTable:
 
 
 def _local(batches: Iterator[pa.RecordBatch], table_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, entry) and the task's distinct contents (entry, ..., packed)."""
+    """Rows (doc_id, key, entry) and the task's distinct contents (entry, ..., packed)."""
     pack = zstandard.ZstdCompressor(level=1).compress
     number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
     held = OpenTable()
@@ -96,20 +101,21 @@ def _local(batches: Iterator[pa.RecordBatch], table_bytes: int) -> Iterator[pa.R
     def out(entries: list[Entry]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([e.best_id for e in entries], pa.int64()),
+                pa.array([None if e.best[1] else e.best[2] for e in entries], pa.int64()),
+                pa.array([e.best[3] for e in entries], pa.int64()),
                 pa.array([e.number for e in entries], pa.int64()),
                 pa.array([e.count for e in entries], pa.int64()),
-                pa.array([e.best_n for e in entries], pa.int64()),
+                pa.array([-e.best[0] for e in entries], pa.int64()),
                 pa.array([e.hash - (1 << 63) for e in entries], pa.int64()),
                 pa.array([pack(e.content) for e in entries], pa.binary()),
             ],
             names,
         )
 
-    names = ["doc_id", "entry", "count", "best_n", "hash", "packed"]
+    names = ["doc_id", "key", "entry", "count", "best_n", "hash", "packed"]
     for b in batches:
         ids, numbers = b.column(0).to_pylist(), []
-        for id_, text, n in zip(ids, b.column(1), b.column(2).to_pylist(), strict=True):
+        for id_, text, n, key in zip(ids, b.column(1), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
             content = (text.as_py() or b"").translate(None, SPACE)
             h = xxhash.xxh64_intdigest(content, 0)
             e = held.get(h, content)
@@ -117,7 +123,7 @@ def _local(batches: Iterator[pa.RecordBatch], table_bytes: int) -> Iterator[pa.R
                 e = Entry(h, content, number)
                 number += 1
                 held.put(e)
-            e.add(1, n or 0, id_)
+            e.add(1, (-(n or 0), id_ is None, id_ or 0, key))
             numbers.append(e.number)
             if held.bytes > table_bytes:  # repeated contents stay, the others leave
                 once = [x for x in held.entries() if x.count == 1]
@@ -130,27 +136,27 @@ def _local(batches: Iterator[pa.RecordBatch], table_bytes: int) -> Iterator[pa.R
                 for k in range(0, len(once), 2000):
                     yield out(once[k : k + 2000])
         none = pa.nulls(len(ids), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int64()), none, none, none, pa.nulls(len(ids), pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), b.column(3), pa.array(numbers, pa.int64()), none, none, none, pa.nulls(len(ids), pa.binary())], names)
     rest = held.entries()
     for k in range(0, len(rest), 2000):
         yield out(rest[k : k + 2000])
 
 
 def grace(records: Iterable[tuple], table_bytes: int, level: int = 0) -> Iterator[Entry]:
-    """Distinct contents of (hash, content, count, best_n, best_id, [parts]) records.
+    """Distinct contents of (hash, content, count, rank of the best copy, [parts]) records.
 
     Contents that are in the table take in further copies at once; others go to
     the spill file of their hash bits when the table is full.
     """
     held, files = OpenTable(), {}
     for rec in records:
-        hash_, content, count, n, id_, parts = rec
+        hash_, content, count, best, parts = rec
         e = held.get(hash_, content)
         if e is None and (held.bytes + len(content) <= table_bytes or not held.used or level >= MAX_LEVEL):
             e = Entry(hash_, content, 0)
             held.put(e)
         if e is not None:
-            e.add(count, n, id_)
+            e.add(count, best)
             e.parts += parts
         else:
             k = hash_ >> (60 - 4 * level) & (FAN_OUT - 1)
@@ -174,18 +180,18 @@ def _reread(f) -> Iterator[tuple]:
 
 
 def _classes(batches: Iterator[pa.RecordBatch], table_bytes: int) -> Iterator[pa.RecordBatch]:
-    """(entry, keep_id, group_size, text_sha256) for every map-side entry of a partition."""
+    """(entry, keep_id, keep_key, group_size, text_sha256) for every map-side entry of a partition."""
     open_ = zstandard.ZstdDecompressor().decompress
 
     def records() -> Iterator[tuple]:
         for b in batches:
-            for id_, entry, count, n, h, packed in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                yield h + (1 << 63), open_(packed), count, n, id_, [entry]
+            for id_, key, entry, count, n, h, packed in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                yield h + (1 << 63), open_(packed), count, (-n, id_ is None, id_ or 0, key), [entry]
 
     rows: list[tuple] = []
     for e in grace(records(), table_bytes):
         sha = hashlib.sha256(e.content).hexdigest()
-        rows += [(p, e.best_id, e.count, sha) for p in e.parts]
+        rows += [(p, None if e.best[1] else e.best[2], e.best[3], e.count, sha) for p in e.parts]
         if len(rows) >= 5000:
             yield _table(rows)
             rows = []
@@ -193,8 +199,25 @@ def _classes(batches: Iterator[pa.RecordBatch], table_bytes: int) -> Iterator[pa
 
 
 def _table(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) or [[]] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)], ["entry", "keep_id", "group_size", "text_sha256"])
+    cols = list(zip(*rows, strict=True)) or [[]] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (*[pa.int64()] * 4, pa.string()), strict=True)], ["entry", "keep_id", "keep_key", "group_size", "text_sha256"])
+
+
+def exact_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", table_bytes: int = TABLE_BYTES) -> DataFrame:
+    """(doc_id, key, keep_id, keep_key, group_size, text_sha256) of every row; ``key`` is its ``row_key``.
+
+    The rows that lead their groups are as in ``exact_dedup``; of rows with one id
+    the one with the smallest key leads.
+    """
+    src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), F.coalesce(F.length(F.col(text_col)), F.lit(0)).cast("long").alias("n"), row_key(df).alias("key"))
+    local = materialize(
+        src.mapInArrow(lambda it: _local(it, table_bytes), "doc_id long, key long, entry long, count long, best_n long, hash long, packed binary"),
+        "grace",
+    )
+    dealt = local.where("count is not null").repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "hash").select("doc_id", "key", "entry", "count", "best_n", "hash", "packed")
+    classes = dealt.mapInArrow(lambda it: _classes(it, table_bytes), "entry long, keep_id long, keep_key long, group_size long, text_sha256 string")
+    rows = local.where("count is null").select("doc_id", "key", "entry")
+    return rows.join(classes, "entry").drop("entry")
 
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", table_bytes: int = TABLE_BYTES) -> DataFrame:
@@ -207,15 +230,20 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     repeated under one id count as copies and are kept or dropped together. An
     empty table gives an empty result; other columns of ``df`` are not touched.
     """
-    src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), F.coalesce(F.length(F.col(text_col)), F.lit(0)).cast("long").alias("n"))
-    local = materialize(
-        src.mapInArrow(lambda it: _local(it, table_bytes), "doc_id long, entry long, count long, best_n long, hash long, packed binary"),
-        "grace",
-    )
-    dealt = local.where("count is not null").repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "hash").select("doc_id", "entry", "count", "best_n", "hash", "packed")
-    classes = dealt.mapInArrow(lambda it: _classes(it, table_bytes), "entry long, keep_id long, group_size long, text_sha256 string")
-    rows = local.where("count is null").select("doc_id", "entry")
-    return rows.join(classes, "entry").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    rows = exact_rows(df, id_col, text_col, table_bytes)
+    return rows.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+
+
+def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` with the one row of each group of equal texts that leads it.
+
+    Rows are told apart by their whole content, not by their id: of a null or
+    repeated id with different texts no unique text is lost, and of rows that
+    agree in all columns one stays.
+    """
+    gone = exact_rows(df, id_col, text_col).where("key <> keep_key").select(F.col("key").alias("_gone")).distinct()
+    rows = df.select(F.struct("*").alias("row"), row_key(df).alias("key"))
+    return rows.join(gone, F.col("key") == F.col("_gone"), "left_anti").dropDuplicates(["key"]).select("row.*")
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,14 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from prismset.llm.common import id_hash
+from prismset.llm.common import id_hash, materialize, row_key
 from prismset.session import table
 
 #: Bytes of a window, units of each direction.
 WINDOW = 64
 UNITS = 16
-#: Training documents of a language at most (lowest md5 of the id), windows of a
-#: document, windows of a step, steps.
+#: Training documents of a language at most, windows of a document at most (both
+#: parameters of ``identify``), windows of a step, steps.
 SAMPLE_PER_LANG = 400
 WINDOWS_PER_DOC = 6
 BATCH = 64
@@ -179,37 +179,40 @@ def pool(net: BiGru, texts: list[bytes]) -> np.ndarray:
     return total / np.array([len(t) for t in texts], np.float32)[:, None]
 
 
-def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, doc_id, window) for some windows of each training document."""
+def _sample(batches: Iterator[pa.RecordBatch], windows: int) -> Iterator[pa.RecordBatch]:
+    """(lang, doc_id, window) for up to ``windows`` windows of each training document."""
     for b in batches:
         lang, ids, out = [], [], []
         for k, (i, t) in enumerate(zip(b.column(1).to_pylist(), b.column(2), strict=True)):
             t = t.as_py() or b""
             n = -(-len(t) // WINDOW)
-            for j in np.random.default_rng(abs(i or 0)).permutation(n)[:WINDOWS_PER_DOC]:
+            for j in np.random.default_rng(abs(i or 0)).permutation(n)[:windows]:
                 lang.append(b.column(0)[k].as_py())
                 ids.append(i)
                 out.append(t[j * WINDOW : (j + 1) * WINDOW])
         yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(ids, pa.int64()), pa.array(out, pa.binary())], ["lang", "doc_id", "window"])
 
 
-def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5, held: int = 0, sample: int = SAMPLE_PER_LANG, seed: int = 42) -> DataFrame:
+def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5, held: int = 0, sample: int = SAMPLE_PER_LANG, windows: int = WINDOWS_PER_DOC, seed: int = 42) -> DataFrame:
     """One row per input row: doc_id, held_out, lang_pred, score.
 
     Learns from text and non-null language of rows whose id's CRC32 leaves a
-    remainder other than ``held``. Texts that are null or hold no letter are
-    ``und`` with score 0; so is every text if there is nothing to learn from.
-    Whole texts are read, however long. Repeated rows are predicted alike; an
-    empty table gives an empty result.
+    remainder other than ``held``: of every language that occurs, however rare, at
+    most ``sample`` documents (lowest seeded md5 of the id), of each at most
+    ``windows`` windows of WINDOW bytes, dealt over the whole text. Texts that are
+    null or hold no letter are ``und`` with score 0; so is every text if there is
+    nothing to learn from. Whole texts are read to predict them, however long.
+    Repeated rows are learned from once and predicted alike; an empty table gives
+    an empty result.
     """
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & F.col("doc_id").isNotNull() & (id_hash(F.col("doc_id")) % folds != held))
-    key = F.md5(F.concat(F.lit(f"{seed}|"), F.col("doc_id").cast("string")))
-    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
-    # a share of about twice the sample is dealt out by language, then cut exactly
-    few = known.join(F.broadcast(counts.orderBy(F.desc("n"), "lang").limit(1000)), "lang").where(F.conv(F.substring(key, 1, 8), 16, 10).cast("double") / 2.0**32 < 2.0 * sample / F.col("n") + 100.0 / F.col("n"))
-    few = few.withColumn("place", F.row_number().over(W.partitionBy("lang").orderBy(key, "doc_id"))).where(F.col("place") <= sample)
-    got = few.select("lang", "doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(_sample, "lang string, doc_id long, window binary").orderBy("lang", "doc_id", "window").toArrow().to_pandas()  # bounded by sample, languages and WINDOWS_PER_DOC
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & F.col("doc_id").isNotNull() & (id_hash(F.col("doc_id")) % folds != held)).withColumn("key", row_key(docs))
+    place = F.md5(F.concat(F.lit(f"{seed}|"), F.col("doc_id").cast("string")))
+    # the first of each language are cut in every task before they meet
+    few = known.select("lang", "key", place.alias("place")).withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("place", "key"))).where(F.col("k") <= sample)
+    few = materialize(few.select("key").distinct(), "picked")  # of a known size, so that the planner sends it to every task while it is small
+    got = known.join(few, "key", "left_semi").dropDuplicates(["key"]).select("lang", "doc_id", F.col("text").cast("binary").alias("text"))
+    got = got.mapInArrow(lambda it: _sample(it, windows), "lang string, doc_id long, window binary").orderBy("lang", "doc_id", "window").toArrow().to_pandas()  # at most sample * windows of a language
     langs = sorted(got["lang"].unique().tolist())
     net = train([bytes(w) for w in got["window"]], got["lang"].map({x: k for k, x in enumerate(langs)}).to_numpy(np.int64), len(langs), seed=seed) if langs else None
 

@@ -140,7 +140,8 @@ class WordIds(dict):
     """Token ids (little-endian unsigned 32-bit) of words, remembered in two generations.
 
     The tokenizer lower-cases and never joins text across ASCII white space, so a
-    text's ids are those of its lower-cased words, one after the other.
+    text's ids are those of its lower-cased words, one after the other. Words that
+    hold an added token, in its own case, are left to the tokenizer as they stand.
     """
 
     def __init__(self, path: str) -> None:
@@ -148,8 +149,10 @@ class WordIds(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self.plain = Tokenizer.from_file(path)
+        self.marks = [t.content.encode() for t in self.plain.get_added_tokens_decoder().values()]
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = True  # for words that hold no added token, also when lower-cased
         self.old: dict[bytes, bytes] = {}
         # the byte-level alphabet: printable Latin-1 characters stand for themselves, other bytes follow from U+0100
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -178,8 +181,14 @@ class WordIds(dict):
         if len(self) > WORDS_HELD:
             self.old = dict(self)
             self.clear()
+        if any(m in text for m in self.marks):
+            return b"".join(self._marked(w) if any(m in w for m in self.marks) else self[w.lower()] for w in text.split()) + end
         return b"".join(map(self.__getitem__, text.lower().split())) + end
 
+    def _marked(self, word: bytes) -> bytes:
+        ids = self.plain.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
 
 def default_tokenizer() -> str:
     import public_tokenizers

@@ -108,7 +108,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", labe
     for k in (0, 1):
         one = known.where(F.col("label") == k).orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(sample)
         picked = one if picked is None else picked.unionByName(one)
-    got = docs.join(F.broadcast(picked), "doc_id").select("label", "doc_id", "text").mapInArrow(_features, "label int, doc_id long, x array<double>").orderBy("doc_id", "label").toArrow().to_pandas()  # at most 2 * sample ids
+    rows = docs.join(F.broadcast(picked), "doc_id").groupBy("label", "doc_id").agg(F.min("text").alias("text"))  # of several rows of one id the first text
+    got = rows.mapInArrow(_features, "label int, doc_id long, x array<double>").orderBy("doc_id", "label").toArrow().to_pandas()  # at most 2 * sample ids
     x = np.array(got["x"].tolist(), dtype=np.float64)
     share = np.array([counts.get(0, 0), counts.get(1, 0)], float)
     return fit(x, got["label"].to_numpy(), share / max(1.0, share.sum()))

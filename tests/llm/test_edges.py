@@ -50,7 +50,7 @@ def test_grace_spills_and_compares_whole_contents():
     contents = [f"{k % 300}".encode() * 50 for k in range(3000)] + [b"a", b"b"]
     same_hash = 5  # all in one bucket at every level
     for h in (lambda c: zlib.crc32(c) << 32, lambda c: same_hash):
-        got = list(exactdedup.grace(((h(c), c, 1, len(c), k, [k]) for k, c in enumerate(contents)), 2000))
+        got = list(exactdedup.grace(((h(c), c, 1, (-len(c), False, k, 0), [k]) for k, c in enumerate(contents)), 2000))
         assert Counter({e.content: e.count for e in got}) == Counter(contents)
         assert len(got) == len(set(contents)) and sorted(p for e in got for p in e.parts) == list(range(len(contents)))
 
@@ -90,6 +90,46 @@ def test_language(docs, none):
     assert {r.lang_pred for r in langid.identify(docs.withColumn("lang", docs.lang.substr(9, 1)).where("lang is null")).collect()} == {"und"}
 
 
+def test_gradients_of_the_network():
+    rng = np.random.default_rng(3)
+    net = langid.BiGru(3, 4, 1)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    x, label = rng.integers(0, 256, (5, 7)), np.array([0, 1, 2, 1, 0])
+    mask = np.ones((5, 7))
+    mask[3, 4:] = 0
+    _, g = net.gradients(x, mask, label)
+    for k, p in net.p.items():
+        for at in np.argsort(-np.abs(g[k]).ravel())[:4]:
+            at = np.unravel_index(at, p.shape)
+            was, e = p[at], 1e-4
+            p[at] = was + e
+            up = net.gradients(x, mask, label)[0]
+            p[at] = was - e
+            down = net.gradients(x, mask, label)[0]
+            p[at] = was
+            assert g[k][at] == pytest.approx((up - down) / (2 * e), rel=2e-3, abs=1e-5), k
+
+
+def test_language_of_held_out_documents(spark):
+    got = langid.identify(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).alias("p")
+    both = got.join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), "doc_id").where("held_out and lang is not null and length(text) >= 40").collect()
+    assert len(both) > 100 and sum(r.lang == r.lang_pred for r in both) >= 0.97 * len(both)
+
+
+def test_rare_languages_are_learned(spark):
+    """A language is learned however many others there are."""
+    data = [(k, "abc def " * 9 if k % 40 else "ϑϑϑ ϕϕϕ " * 9, f"l{k % 40:02}") for k in range(200)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    got = langid.identify(df, sample=5).collect()
+    assert {r.lang_pred for r in got if r.doc_id % 40 == 0} == {"l00"}
+
+
+def test_quality_of_held_out_documents(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    both = quality.score_quality(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    assert len(both) > 50 and sum(r.predicted == r.quality for r in both) >= 0.95 * len(both)
+
+
 def test_chat(spark):
     turns = [(1, 0, "system", "be nice"), (1, 1, "ann", "hi <|end|>"), (1, 2, "bob", None), (1, 2, "ann", "again"), (1, 2, "ann", "again"), (1, None, None, "late"), (None, 0, "ann", "x"), (3, 0, "system", "alone")]
     df = spark.createDataFrame([(*t, 7) for t in turns], "conv_id long, turn long, role string, text string, part int")
@@ -111,9 +151,10 @@ def test_packing(docs, none):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(packing.default_tokenizer())
-    tok.encode_special_tokens = True
-    got = packing.pack(docs, with_ids=True, buffer_tokens=5000).collect()
-    want = Counter((r[0], np.array([*tok.encode(r[1] or "", add_special_tokens=False).ids, 2], "<u4").tobytes()) for r in rows() if r[0] != 7)
+    marked = ["<|endoftext|> hi", "a<|endoftext|>b <|startoftext|>", "x <|ENDOFTEXT|> y<|endoftext|>", "<|endoftext|><|endoftext|> \u0130 \u00df", "<|endoftext| > A<|EndOfText|>"]
+    extra = [(300 + k, t, "en", "s1", 0, 1, "x", 2, "y", 3) for k, t in enumerate(marked)]
+    got = packing.pack(docs.unionByName(docs.sparkSession.createDataFrame(extra, docs.schema)), with_ids=True, buffer_tokens=5000).collect()
+    want = Counter((r[0], np.array([*tok.encode(r[1] or "", add_special_tokens=False).ids, 2], "<u4").tobytes()) for r in [*rows(), *extra] if r[0] != 7)
     for d, ids in want:
         mine = sorted((r for r in got if r.doc_id == d), key=lambda r: r.start)
         assert b"".join(bytes(r.ids) for r in mine) == ids and all(r.doc_tokens == len(ids) // 4 for r in mine)
@@ -196,6 +237,40 @@ def test_hamming_masks_cover():
             assert len(home) == 1 and syndrome(home[0]) == 0 and home[0] in {y ^ m for m in masks[syndrome(y)]}
 
 
+def test_fingerprints_follow_the_definition(docs):
+    import re
+
+    import xxhash
+
+    got = {r.doc_id: r.fingerprint for r in simhash.simhash_near_dedup(docs, words=4).collect()}
+    for r in rows():
+        w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in r[1] or ""))
+        h = [xxhash.xxh64_intdigest(" ".join(w[i : i + 4]).encode(), 42) for i in range(max(1, len(w) - 3))] if w else []
+        bits = sum(1 << k for k in range(64) if 2 * sum(x >> k & 1 for x in h) > len(h))
+        assert got[r[0]] == f"{bits:016x}"
+
+
+def test_exact_copies_of_odd_ids(spark, none):
+    """Null and repeated ids: copies go, unique texts stay."""
+    data = [(None, "same text", 1), (None, "same text", 1), (None, "other text", 2), (5, "same  text", 3), (5, "a third text", 4), (5, "sametext", 5), (6, None, 6), (None, "", 7)]
+    df = spark.createDataFrame(data, "doc_id long, text string, key int")
+    got = sorted((r.text or "", r.doc_id or 0) for r in exactdedup.drop_copies(df).collect())
+    assert got == [("", 6), ("a third text", 5), ("other text", 0), ("same  text", 5)]
+    assert exactdedup.drop_copies(df).columns == df.columns and exactdedup.drop_copies(none).count() == 0
+
+
+def test_near_copies_of_odd_ids(spark, none):
+    base = [text(k, 200).split() for k in range(4)]
+    near = [" ".join([*b[:-1], f"other{k}"]) for k, b in enumerate(base)]
+    data = [(None, " ".join(base[0])), (3, near[0]), (3, " ".join(base[1])), (None, near[1]), (9, " ".join(base[2])), (9, near[2]), (None, " ".join(base[3])), (None, "")]
+    df = spark.createDataFrame([(*r, k, "x") for k, r in enumerate(data)], "doc_id long, text string, id int, line string")
+    kept = {r.id for r in simhash.drop_near(df).collect()}
+    assert kept >= {1, 2, 6, 7} and len(kept & {4, 5}) == 1 and len(kept) == 5
+    got = simhash.near_copies(df).collect()
+    assert len(got) == len(data) and sum(r.kept for r in got) == 5
+    assert simhash.drop_near(none).count() == 0 and simhash.drop_near(df).columns == df.columns
+
+
 def test_near_copies(docs, none):
     got = {r.doc_id: r for r in simhash.near_copies(docs).collect()}
     assert got[24].component_id == 1 and not got[24].kept and got[25].component_id == 2 and got[21].component_id == 20
@@ -371,6 +446,22 @@ def brute_ppm(learnt, text, order):
     return out
 
 
+def test_lm_base_is_the_unigram_model(docs):
+    """Tokens, known tokens, training tokens and the base score, by the plain formula."""
+    learnt = [r for r in rows() if zlib.crc32(str(r[0]).encode()) % 10 != 0 or r[0] is None]
+    got = {r.doc_id: r for r in ppm.lm_score(docs.where("doc_id IS NOT NULL"), hot_words=7).collect()}
+    tokens = lambda t: [*(t or "").encode().lower().split(), None]
+    count = Counter(w for r in learnt if r[0] is not None for w in tokens(r[1]))
+    total = sum(count.values())
+    for r in rows():
+        if r[0] is None:
+            continue
+        g, mine = got[r[0]], tokens(r[1])
+        assert (g.n_tokens, g.n_known, g.train_tokens) == (len(mine), sum(w in count for w in mine), total)
+        assert g.held_out == (zlib.crc32(str(r[0]).encode()) % 10 == 0)
+        assert g.base_score == pytest.approx(sum(np.log10((count[w] + 0.1) / (total + 0.1 * (len(count) + 1))) for w in mine), rel=1e-9)
+
+
 @pytest.mark.parametrize("order", [0, 1, 2, 5])
 def test_lm_keeps_all_counts(spark, order):
     """Neither the number of windows held in memory nor their counts change the scores."""
