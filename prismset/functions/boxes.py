@@ -41,9 +41,9 @@ def clip(c: Column, low: float = 0.0, high: float = 1.0) -> Column:
 
 
 def sanitize(x: Column, y: Column, w: Column, h: Column) -> dict[str, Column]:
-    """Corners clipped to the unit square, rebuilt and rounded half-even to 6 places."""
+    """Corners clipped to the unit square, rebuilt and rounded half-even to millionths."""
     x1, x2, y1, y2 = clip(x - w / 2), clip(x + w / 2), clip(y - h / 2), clip(y + h / 2)
-    return {k: F.bround(v, 6) for k, v in (("x", (x1 + x2) / 2), ("y", (y1 + y2) / 2), ("w", x2 - x1), ("h", y2 - y1))}
+    return {k: F.rint(v * 1e6) / 1e6 for k, v in (("x", (x1 + x2) / 2), ("y", (y1 + y2) / 2), ("w", x2 - x1), ("h", y2 - y1))}
 
 
 def letterbox(width: Column, height: Column, target: int) -> dict[str, Column]:

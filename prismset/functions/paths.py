@@ -32,8 +32,9 @@ def folder(path: Column) -> Column:
 
 def subfolder(path: Column, root: str) -> Column:
     """Top folder below ``root``; the root's own name for files right in it."""
-    top = F.regexp_extract(path, f"^{root}/([^/]+)/", 1)
-    return F.when(top == "", root.rsplit("/", 1)[-1]).otherwise(top)
+    below = F.substring(path, len(root) + 2, 1 << 20)
+    top = F.regexp_extract(below, "^([^/]+)/", 1)
+    return F.when(~F.startswith(path, F.lit(f"{root}/")) | (top == ""), root.rsplit("/", 1)[-1]).otherwise(top)
 
 
 def modality(path: Column) -> Column:

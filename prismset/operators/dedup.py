@@ -5,15 +5,20 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
 def exact_groups(df: DataFrame, key: Column, order: str) -> DataFrame:
-    """(group_id, representative, members, copies) of keys that several rows share."""
-    g = df.groupBy(key.alias("k")).agg(F.min(order).alias("representative"), F.array_sort(F.collect_list(order)).alias("members"), F.count("*").alias("copies")).where("copies > 1")
-    return g.withColumn("group_id", F.concat(F.lit("exact_group_"), F.col("representative").cast("string")))
+    """(representative, copies, member): a row for each member of a key that several rows share.
+
+    ``representative`` is the group's lowest ``order``. No group is gathered, so a
+    key that very many rows share costs no more than others.
+    """
+    keyed = df.select(key.alias("_k"), F.col(order).alias("member"))
+    g = keyed.groupBy("_k").agg(F.min("member").alias("representative"), F.count("*").alias("copies")).where("copies > 1")
+    return keyed.join(g, keyed._k.eqNullSafe(g._k)).select("representative", "copies", "member")
 
 
 def first_of(df: DataFrame, key: Column, order: str) -> DataFrame:
@@ -32,35 +37,80 @@ def distance(a: str, b: str) -> Column:
     return F.bit_count(F.col(f"{a}.lo").bitwiseXOR(F.col(f"{b}.lo"))) + F.bit_count(F.col(f"{a}.hi").bitwiseXOR(F.col(f"{b}.hi")))
 
 
+#: Rows of a block when all pairs are compared.
+BLOCK = 1000
+
+
+def _probes(t: int) -> tuple[Column, Column]:
+    """(band, value) arrays of a hash ``whole``: as it is, and with up to one bit of a band flipped.
+
+    With t // 2 + 1 bands, two hashes at most ``t`` bits apart differ by one bit at
+    most in one of them.
+    """
+    n = t // 2 + 1
+    cuts = [round(k * 64 / n) for k in range(n + 1)]
+    spans = list(zip(cuts, cuts[1:], strict=False))
+    value = lambda lo, hi: F.shiftrightunsigned(F.shiftleft("whole", 64 - hi), 64 - hi + lo)
+    own = F.array(*(F.struct(F.lit(k).alias("band"), value(lo, hi).alias("value")) for k, (lo, hi) in enumerate(spans)))
+    flips = lambda k, lo, hi: F.transform(F.array(*(F.lit(m).cast("long") for m in [0, *(1 << j if j < 63 else -1 << 63 for j in range(hi - lo))])), lambda m: F.struct(F.lit(k).alias("band"), value(lo, hi).bitwiseXOR(m).alias("value")))
+    return own, F.concat(*(flips(k, lo, hi) for k, (lo, hi) in enumerate(spans)))
+
+
 def near_pairs(hashes: DataFrame, t: int) -> DataFrame:
-    """(i, j, d) with i < j of 64-bit hashes at most ``t`` bits apart.
+    """(i, j, d) with i < j of 64-bit hashes (i, lo, hi) at most ``t`` bits apart.
 
-    Up to 12 bits the hash is cut into t + 1 bands, of which one must be equal: an
-    equi-join on (band, value). Beyond, bands would be too short to select
-    anything, and the exact answer is a comparison of all pairs.
+    Up to 12 bits one side of an equi-join on (band, value) brings its bands, the
+    other the same with up to one bit flipped. Beyond, bands would be too short to
+    select anything, and the exact answer is a comparison of all pairs: rows are
+    dealt into blocks of about BLOCK, and pairs of blocks are joined.
     """
-    if t > 12:
-        return hashes.alias("a").join(hashes.alias("b"), (F.col("a.i") < F.col("b.i")) & (distance("a", "b") <= t)).select(F.col("a.i").alias("i"), F.col("b.i").alias("j"), distance("a", "b").cast("int").alias("d"))
     whole = F.shiftleft("hi", 32).bitwiseOR(F.col("lo"))
-    cuts = [round(k * 64 / (t + 1)) for k in range(t + 2)]
-    bands = F.array(*(F.struct(F.lit(k).alias("band"), F.shiftrightunsigned(F.shiftleft(whole, 64 - hi), 64 - hi + lo).alias("value")) for k, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False))))
-    cut = hashes.withColumn("b", F.explode(bands)).select("i", "lo", "hi", "b.band", "b.value")
-    a, b = cut.alias("a"), cut.alias("b")
-    near = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.value") == F.col("b.value")) & (F.col("a.i") < F.col("b.i")) & (distance("a", "b") <= t))
-    return near.select(F.col("a.i").alias("i"), F.col("b.i").alias("j"), distance("a", "b").cast("int").alias("d")).distinct()
+    rows = hashes.select("i", "lo", "hi")
+    if t <= 12:
+        own, probes = _probes(t)
+        rows = rows.withColumn("whole", whole)
+        a = rows.select("i", "lo", "hi", F.explode(own).alias("at")).select("i", "lo", "hi", "at.band", "at.value").alias("a")
+        b = rows.select("i", "lo", "hi", F.explode(probes).alias("at")).select("i", "lo", "hi", "at.band", "at.value").alias("b")
+        on = (F.col("a.band") == F.col("b.band")) & (F.col("a.value") == F.col("b.value"))
+    else:
+        rows = _stored(rows)
+        n = -(-rows.count() // BLOCK) or 1
+        dealt = rows.withColumn("mine", F.pmod(F.xxhash64("i"), F.lit(n)).cast("int"))
+        every = F.sequence(F.lit(0), F.lit(n - 1))
+        a = dealt.select("i", "lo", "hi", F.col("mine").alias("k"), F.explode(every).alias("m")).alias("a")
+        b = dealt.select("i", "lo", "hi", F.explode(every).alias("k"), F.col("mine").alias("m")).alias("b")
+        on = (F.col("a.k") == F.col("b.k")) & (F.col("a.m") == F.col("b.m"))
+    found = a.join(b, on & (F.col("a.i") < F.col("b.i")) & (distance("a", "b") <= t))
+    return found.select(F.col("a.i").alias("i"), F.col("b.i").alias("j"), distance("a", "b").cast("int").alias("d")).distinct()
+
+
+def _folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; a local session that names none gets a temporary one."""
+    sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="prismset-"))
+    return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
 def _stored(df: DataFrame) -> DataFrame:
-    """Written to the folder of spark.checkpoint.dir and read back; cuts the lineage."""
-    sc = df.sparkSession.sparkContext
-    where = sc.getConf().get("spark.checkpoint.dir", None)
-    if not where:
-        if sc._jsc.sc().getCheckpointDir().isEmpty():
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="prismset-"))
-        where = sc._jsc.sc().getCheckpointDir().get()
-    path = f"{where}/rounds-{uuid.uuid4().hex}"
+    """Written to the shared folder and read back; cuts the lineage."""
+    path = f"{_folder(df.sparkSession)}/rounds-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def _forget(df: DataFrame) -> None:
+    """Delete a stored table that nothing reads any more."""
+    sc = df.sparkSession.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def leader_groups(pairs: DataFrame) -> DataFrame:
@@ -69,23 +119,47 @@ def leader_groups(pairs: DataFrame) -> DataFrame:
     In order of id, a row that no earlier leader has absorbed leads and absorbs
     its later neighbours; absorbed rows never lead, so this is not connected
     components. Rounds: undecided rows whose earlier neighbours are all decided
-    lead, their undecided neighbours are absorbed. A member's leader is its
-    lowest adjacent leader.
+    lead, their undecided neighbours are absorbed; pairs of decided rows leave. A
+    member's leader is its lowest adjacent leader.
     """
     pairs = _stored(pairs.select("i", "j"))
-    rows = pairs.select(F.col("i").alias("id")).union(pairs.select("j")).distinct()
-    state = _stored(rows.withColumn("lead", F.lit(None).cast("boolean")))
-    while state.where("lead IS NULL").limit(1).count():
-        waits = pairs.join(state.where("lead IS NULL").select(F.col("id").alias("i")), "i", "left_semi").select(F.col("j").alias("id")).distinct()
-        new = state.where("lead IS NULL").join(waits, "id", "left_anti").select("id", F.lit(True).alias("now"))
-        hit = pairs.join(new.select(F.col("id").alias("i")), "i", "left_semi").select(F.col("j").alias("id"), F.lit(True).alias("hit")).distinct()
-        state = _stored(
-            state.join(new, "id", "left").join(hit, "id", "left").select("id", F.coalesce("lead", F.when(F.col("now"), True), F.when(F.col("hit"), False)).alias("lead"))
-        )
-    leads = state.where("lead").select(F.col("id").alias("i"))
-    return pairs.join(leads, "i", "left_semi").groupBy(F.col("j").alias("member")).agg(F.min("i").alias("leader"))
+    open_, absorbed = pairs, None
+    while not open_.isEmpty():
+        first = open_.select("i").distinct().join(open_.select(F.col("j").alias("i")).distinct(), "i", "left_anti")
+        hit = _stored(open_.join(first, "i", "left_semi").select(F.col("j").alias("i")).distinct())
+        done = first.unionByName(hit)
+        left = _stored(open_.join(done, "i", "left_anti").join(hit.select(F.col("i").alias("j")), "j", "left_anti").select("i", "j"))
+        absorbed = hit if absorbed is None else absorbed.unionByName(hit)
+        if open_ is not pairs:
+            _forget(open_)
+        open_ = left
+    led = pairs if absorbed is None else pairs.join(absorbed, "i", "left_anti")
+    return led.groupBy(F.col("j").alias("member")).agg(F.min("i").alias("leader")).select("leader", "member")
+
+
+def near_leaders(hashes: DataFrame, t: int) -> DataFrame:
+    """(leader, member) of the leader clustering of hashes (i, lo, hi) at most ``t`` bits apart.
+
+    Rows of one hash have the same neighbours, so only the first of each takes
+    part; the others follow it, or are absorbed by it if it leads.
+    """
+    first = _stored(hashes.groupBy("lo", "hi").agg(F.min("i").alias("i"), F.count("*").alias("n")))
+    near = _stored(leader_groups(near_pairs(first.select("i", "lo", "hi"), t)))
+    more = hashes.join(first.where("n > 1").select("lo", "hi", F.col("i").alias("rep")), ["lo", "hi"]).where("i <> rep").select("rep", F.col("i").alias("member"))
+    more = more.join(near.select("leader", F.col("member").alias("rep")), "rep", "left").select(F.coalesce("leader", "rep").alias("leader"), "member")
+    return near.unionByName(more)
 
 
 def ordinal(df: DataFrame, prefix: str, order: str) -> DataFrame:
-    """``df`` (one row a group) with names prefix_1, prefix_2, ... in order."""
-    return df.withColumn("name", F.concat(F.lit(prefix), F.row_number().over(W.orderBy(order)).cast("string")))
+    """``df`` (one row a group) with names prefix1, prefix2, ... in order.
+
+    Places come from two levels, rows within a range and the ranges before it, so
+    no task sees all rows.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at = F.monotonically_increasing_id()
+    dealt = _stored(df.repartitionByRange(n, order).sortWithinPartitions(order).withColumn("_part", F.shiftright(at, 33)).withColumn("_at", at.bitwiseAND((1 << 33) - 1)))
+    sizes = dealt.groupBy("_part").agg(F.count("*").alias("_n"))  # a row for each range
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    sizes = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return dealt.join(F.broadcast(sizes), "_part").withColumn("name", F.concat(F.lit(prefix), (F.col("_before") + F.col("_at") + 1).cast("string"))).drop("_part", "_at", "_before")

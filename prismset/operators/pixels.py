@@ -8,23 +8,25 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Callable, Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from prismset.functions import paths as P
+from prismset.sources.files import pattern, plain
+
 PAD = 114
 #: Weights of blue, green and red in grey.
 GREY = np.array([0.114, 0.587, 0.299])
 MIN_VISIBILITY = 0.2
 
 
-def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """(path, height, width, channels, data, corrupted) of all images under a path."""
-    raw = spark.read.format("image").option("recursiveFileLookup", "true").load(path)
-    return raw.select(F.col("image.origin").alias("path"), "image.height", "image.width", F.col("image.nChannels").alias("channels"), "image.data", (F.col("image.height") < 0).alias("corrupted"))
+def read_images(spark: SparkSession, path: str, extensions: list[str]) -> DataFrame:
+    """(path, height, width, channels, data, format, corrupted) of the images of these extensions under a path."""
+    raw = spark.read.format("image").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern(extensions)).load(path)
+    path_ = plain("image.origin")
+    kind = F.upper(F.replace(F.replace(P.extension(path_), F.lit("jpg"), F.lit("jpeg")), F.lit("tiff"), F.lit("tif")))
+    return raw.select(path_.alias("path"), "image.height", "image.width", F.col("image.nChannels").alias("channels"), "image.data", kind.alias("format"), (F.col("image.height") <= 0).alias("corrupted"))
 
 
 def array(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
@@ -61,7 +63,7 @@ def resize(a: np.ndarray, height: int, width: int) -> np.ndarray:
 
 def perceptual_hash(a: np.ndarray, method: str = "phash") -> int:
     """64 bits: ``phash`` (low DCT terms over their median), ``dhash`` (rising gradient), ``ahash`` (over the mean)."""
-    g = grey(a)
+    g = np.rint(grey(a))
     if method == "phash":
         n = 32
         k = np.arange(n)
@@ -200,13 +202,3 @@ def augment(a: np.ndarray, boxes: np.ndarray, config: dict, key: str, seed: int
     seen = (hi - lo).prod(axis=1) >= MIN_VISIBILITY * np.maximum(boxes[:, 3:].prod(axis=1), 1e-12)
     out = np.concatenate([boxes[:, :1], np.round((lo + hi) / 2, 6), np.round(hi - lo, 6)], axis=1)
     return a, out[seen]
-
-
-def per_image(images: DataFrame, f: Callable[[np.ndarray], object], name: str, kind: str) -> DataFrame:
-    """(path, name) with ``f`` of every decodable image; others are left out."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"path": b["path"], name: [f(array(*r)) for r in zip(b["data"], b["height"], b["width"], b["channels"], strict=True)]})
-
-    return images.where("NOT corrupted").select("path", "data", "height", "width", "channels").mapInPandas(run, f"path string, {name} {kind}")

@@ -5,4 +5,4 @@ from __future__ import annotations
 from prismset.plans import formats, images, relational
 
 QUERIES = {**relational.QUERIES, **formats.QUERIES, **images.QUERIES}
-ORACLES = {**relational.ORACLES, **formats.ORACLES}
+ORACLES = {**relational.ORACLES, **formats.ORACLES, **images.ORACLES}

@@ -157,10 +157,16 @@ def _clip(e: str) -> str:
 _X1, _X2, _Y1, _Y2 = _clip("x - w / 2"), _clip("x + w / 2"), _clip("y - h / 2"), _clip("y + h / 2")
 
 
-@query(f"""WITH {S.WIDE_SQL} SELECT DISTINCT round_even(({_X1} + {_X2}) / 2, 6) AS x, round_even(({_Y1} + {_Y2}) / 2, 6) AS y,
-  round_even({_X2} - {_X1}, 6) AS w, round_even({_Y2} - {_Y1}, 6) AS h FROM boxes WHERE w > 0 AND h > 0""")
+def _six(e: str) -> str:
+    return f"round_even(({e}) * 1000000::DOUBLE, 0) / 1000000::DOUBLE"
+
+
+_SANITIZED = f"{_six(f'({_X1} + {_X2}) / 2')} AS x, {_six(f'({_Y1} + {_Y2}) / 2')} AS y, {_six(f'{_X2} - {_X1}')} AS w, {_six(f'{_Y2} - {_Y1}')} AS h"
+
+
+@query(f"""WITH {S.WIDE_SQL} SELECT image_id, line_no, part_id, {_SANITIZED} FROM boxes WHERE w > 0 AND h > 0""")
 def box_sanitize(spark: SparkSession, d: str) -> DataFrame:
-    return S.boxes(spark, d, wide=True).where("w > 0 AND h > 0").select(*(v.alias(k) for k, v in B.sanitize(*_xywh()).items())).distinct()
+    return S.boxes(spark, d, wide=True).where("w > 0 AND h > 0").select("image_id", "line_no", "part_id", *(v.alias(k) for k, v in B.sanitize(*_xywh()).items()))
 
 
 _SIZES_SQL = f"SELECT *, {S.WIDTH} + image_id % 7 * 100 AS iw, {S.HEIGHT} + image_id % 5 * 90 AS ih FROM boxes"
@@ -173,13 +179,12 @@ def _sized(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {S.BOXES_SQL}, z AS ({_SIZES_SQL}), s AS (SELECT *, least({S.TARGET}::DOUBLE / iw, {S.TARGET}::DOUBLE / ih) AS scale FROM z),
 p AS (SELECT *, ({S.TARGET} - round_even(iw * scale, 0)) / 2 AS pad_w, ({S.TARGET} - round_even(ih * scale, 0)) / 2 AS pad_h FROM s),
 t AS (SELECT image_id, line_no, part_id, scale, pad_w, pad_h, (x * iw * scale + pad_w) / {S.TARGET} AS x, (y * ih * scale + pad_h) / {S.TARGET} AS y, w * iw * scale / {S.TARGET} AS w, h * ih * scale / {S.TARGET} AS h FROM p)
-SELECT image_id, line_no, part_id, round(scale, 6) AS scale, pad_w, pad_h, round(round_even(({_X1} + {_X2}) / 2, 6) + 0.0000013, 4) AS x, round(round_even(({_Y1} + {_Y2}) / 2, 6) + 0.0000013, 4) AS y,
-  round(round_even({_X2} - {_X1}, 6) + 0.0000013, 4) AS w, round(round_even({_Y2} - {_Y1}, 6) + 0.0000013, 4) AS h FROM t""")
+SELECT image_id, line_no, part_id, scale, pad_w, pad_h, {_SANITIZED} FROM t""")
 def letterbox_geometry(spark: SparkSession, d: str) -> DataFrame:
     iw, ih = F.col("iw").cast("double"), F.col("ih").cast("double")
     g = B.letterbox(iw, ih, S.TARGET)
     box = B.letterbox_box(*_xywh(), iw, ih, S.TARGET)
-    return _sized(spark, d).select("image_id", "line_no", "part_id", F.round(g["scale"], 6).alias("scale"), g["pad_w"].alias("pad_w"), g["pad_h"].alias("pad_h"), *(F.round(v + 0.0000013, 4).alias(k) for k, v in box.items()))  # off the ties that the engines' arithmetic may break differently
+    return _sized(spark, d).select("image_id", "line_no", "part_id", *(v.alias(k) for k, v in (g | box).items()))
 
 
 @query(f"""WITH {S.BOXES_SQL}, z AS ({_SIZES_SQL})
@@ -212,11 +217,13 @@ def exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return _first(spark, d).where("doc_id = representative").select("doc_id", "source")
 
 
-@query("""SELECT 'exact_group_' || row_number() OVER (ORDER BY min(doc_id)) AS name, min(doc_id) AS representative, count(*) AS copies,
-  string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS members FROM documents GROUP BY md5(text) HAVING count(*) > 1""")
+@query("""WITH g AS (SELECT md5(text) AS h, 'exact_group_' || row_number() OVER (ORDER BY min(doc_id)) AS name, min(doc_id) AS representative, count(*) AS copies FROM documents GROUP BY md5(text) HAVING count(*) > 1)
+SELECT name, representative, copies, doc_id AS member FROM documents JOIN g ON md5(text) = h""")
 def exact_groups(spark: SparkSession, d: str) -> DataFrame:
+    """A row for each member of each group of copies, the groups numbered by their first member."""
     g = dedup.exact_groups(table(spark, d, "documents").select("doc_id", "text"), F.md5("text"), "doc_id")
-    return dedup.ordinal(g, "exact_group_", "representative").select("name", "representative", "copies", F.concat_ws(",", F.transform("members", lambda x: x.cast("string"))).alias("members"))
+    named = dedup.ordinal(g.select("representative").distinct(), "exact_group_", "representative")
+    return g.join(named, "representative").select("name", "representative", "copies", "member")
 
 
 @query(f"WITH {_FIRST} SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.doc_id = d.doc_id AND f.doc_id <> representative)")
@@ -225,23 +232,24 @@ def dedup_retained(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id").join(gone, "doc_id", "left_anti")
 
 
-@query(f"""WITH {_FIRST}, {S.PAIRS_SQL.format(t=20)}
+@query(f"""WITH {_FIRST}, {S.PAIRS_SQL.format(t=8)}
 SELECT doc_id FROM f WHERE doc_id <> representative UNION SELECT j FROM pairs""")
 def dup_union(spark: SparkSession, d: str) -> DataFrame:
     """Exact duplicates and near ones, each once."""
-    near = dedup.near_pairs(S.hashes(spark, d), 20).select(F.col("j").alias("doc_id"))
+    near = dedup.near_pairs(S.hashes(spark, d), 8).select(F.col("j").alias("doc_id"))
     return _first(spark, d).where("doc_id <> representative").select("doc_id").union(near).distinct()
 
 
-@query(f"WITH {S.PAIRS_SQL.format(t=16)} SELECT i, j, d FROM pairs")
+@query(f"WITH {S.PAIRS_SQL.format(t=8)} SELECT i, j, d FROM pairs")
 def near_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.near_pairs(S.hashes(spark, d), 16)
+    """At 8 bits: an equi-join on five bands, one bit of a band flipped."""
+    return dedup.near_pairs(S.hashes(spark, d), 8)
 
 
-@query(f"WITH {S.PAIRS_SQL.format(t=8)} SELECT i, j, d FROM pairs")
-def near_pairs_banded(spark: SparkSession, d: str) -> DataFrame:
-    """At 8 bits: an equi-join on nine bands."""
-    return dedup.near_pairs(S.hashes(spark, d), 8)
+@query(f"WITH {S.PAIRS_SQL.format(t=14)} SELECT i, j, d FROM pairs")
+def near_pairs_wide(spark: SparkSession, d: str) -> DataFrame:
+    """At 14 bits: all pairs, block by block."""
+    return dedup.near_pairs(S.hashes(spark, d), 14)
 
 
 _LEADERS = """,
@@ -254,12 +262,12 @@ walk AS (
 groups AS (SELECT min(i) AS leader, j AS member FROM pairs WHERE i IN (SELECT lead FROM walk WHERE lead IS NOT NULL) GROUP BY j)"""
 
 
-@query(f"WITH RECURSIVE {S.PAIRS_SQL.format(t=20)}{_LEADERS} SELECT leader, member FROM groups")
+@query(f"WITH RECURSIVE {S.PAIRS_SQL.format(t=8)}{_LEADERS} SELECT leader, member FROM groups")
 def near_leader_groups(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.leader_groups(dedup.near_pairs(S.hashes(spark, d), 20)).select("leader", "member")
+    return dedup.near_leaders(S.hashes(spark, d), 8)
 
 
-@query(f"""WITH RECURSIVE {S.PAIRS_SQL.format(t=20)}{_LEADERS}, {_FIRST}
+@query(f"""WITH RECURSIVE {S.PAIRS_SQL.format(t=8)}{_LEADERS}, {_FIRST}
 SELECT (SELECT count(*) FROM documents) AS evaluated, (SELECT count(*) FROM f WHERE doc_id <> representative) AS exact, (SELECT count(*) FROM groups) AS near,
   (SELECT count(*) FROM (SELECT doc_id FROM f WHERE doc_id <> representative UNION SELECT member FROM groups)) AS removed,
   (SELECT count(DISTINCT representative) FROM f WHERE doc_id <> representative) + (SELECT count(DISTINCT leader) FROM groups) AS groups""")
@@ -428,18 +436,22 @@ def auto_label_pending(spark: SparkSession, d: str) -> DataFrame:
     return docs_labels(spark, d).groupBy("source").agg(F.count_if(F.expr("quality IS NOT NULL")).alias("skipped"), F.count_if(F.expr("quality IS NULL")).alias("to_process"))
 
 
-@query("""SELECT coalesce(i.k, l.k) AS stem, CASE WHEN l.k IS NULL THEN 'no label' ELSE 'no image' END AS problem
-FROM (SELECT doc_id AS k FROM documents WHERE doc_id % 7 <> 0) i FULL JOIN (SELECT doc_id AS k FROM labels) l ON i.k = l.k WHERE i.k IS NULL OR l.k IS NULL""")
+_SIDES = "(SELECT doc_id AS k FROM documents UNION SELECT -1 - doc_id FROM documents) i FULL JOIN (SELECT DISTINCT l_orderkey AS k FROM lineitem) l ON i.k = l.k"
+
+
+@query(f"SELECT coalesce(i.k, l.k) AS stem, CASE WHEN l.k IS NULL THEN 'no label' ELSE 'no image' END AS problem FROM {_SIDES} WHERE i.k IS NULL OR l.k IS NULL")
 def stem_reconcile(spark: SparkSession, d: str) -> DataFrame:
-    """Stems on one side only; also finds annotations without an image."""
-    i = table(spark, d, "documents").where("doc_id % 7 <> 0").select(F.col("doc_id").alias("a"))
-    lab = table(spark, d, "labels").select(F.col("doc_id").alias("b"))
+    """Stems on one side only, of images (two for each document) and labels (one for each order)."""
+    docs = table(spark, d, "documents")
+    i = docs.select(F.col("doc_id").alias("a")).union(docs.select(-1 - F.col("doc_id"))).distinct()
+    lab = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("b")).distinct()
     return i.join(lab, F.col("a") == F.col("b"), "full_outer").where("a IS NULL OR b IS NULL").select(F.coalesce("a", "b").alias("stem"), F.expr("CASE WHEN b IS NULL THEN 'no label' ELSE 'no image' END").alias("problem"))
 
 
-@query("SELECT doc_id FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 7 <> 0)")
+@query("SELECT DISTINCT l_orderkey AS stem FROM lineitem WHERE l_orderkey NOT IN (SELECT doc_id FROM documents)")
 def orphan_annotations(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "labels").select("doc_id").join(table(spark, d, "documents").where("doc_id % 7 <> 0"), "doc_id", "left_anti")
+    """Labels (one for each order) without an image."""
+    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("stem")).distinct().join(table(spark, d, "documents").select(F.col("doc_id").alias("stem")), "stem", "left_anti")
 
 
 @query(f"""WITH {S.BOXES_SQL}, t AS (

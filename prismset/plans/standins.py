@@ -52,22 +52,21 @@ boxes AS (
 
 
 def hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(i, lo, hi): a 64-bit hash of each embedding, bit k set where e[k] is over the median."""
-    fold = lambda k0: f"aggregate(transform(slice(e, {k0 + 1}, 32), (x, k) -> IF(x > m, shiftleft(1L, k), 0L)), 0L, (p, q) -> p | q)"
-    return (
-        table(spark, sf_dir, "embeddings")
-        .selectExpr("vec_id AS i", "CAST(embedding AS ARRAY<DOUBLE>) AS e")
-        .withColumn("s", F.array_sort("e"))
-        .withColumn("m", (F.element_at("s", 32) + F.element_at("s", 33)) / 2)
-        .selectExpr("i", f"{fold(0)} AS lo", f"{fold(32)} AS hi")
-    )
+    """(i, lo, hi): a 64-bit hash of each document; five in a row share one, of which each flips some bits."""
+    word = lambda seed, key: f"CAST(conv(substr(md5(concat('{seed}|', {key})), 1, 8), 16, 10) AS BIGINT)"
+    flips = "(" + " & ".join(word(f"f{k}", "doc_id") for k in range(3)) + ")"
+    return table(spark, sf_dir, "documents").selectExpr("doc_id AS i", f"{word('lo', 'doc_id div 5')} ^ IF(doc_id % 5 < 2, 0L, {flips}) AS lo", f"{word('hi', 'doc_id div 5')} AS hi")
+
+
+def _word(seed: str, key: str) -> str:
+    return f"CAST('0x' || substr(md5('{seed}|' || {key}), 1, 8) AS BIGINT)"
 
 
 #: Pairs (i, j, d) with i < j and at most {t} differing bits.
-PAIRS_SQL = """
-v AS (SELECT vec_id AS i, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-m AS (SELECT i, e, list_sort(e) AS s FROM v),
-b AS (SELECT i, list_transform(e, lambda x: x > (s[32] + s[33]) / 2) AS bits FROM m),
+PAIRS_SQL = f"""
+v AS (
+  SELECT doc_id AS i, xor({_word('lo', 'doc_id // 5')}, CASE WHEN doc_id % 5 < 2 THEN 0::BIGINT ELSE {' & '.join(_word(f'f{k}', 'doc_id') for k in range(3))} END) AS lo,
+    {_word('hi', 'doc_id // 5')} AS hi FROM documents),
 pairs AS (
-  SELECT * FROM (SELECT p.i, q.i AS j, CAST(list_sum(list_transform(range(1, 65), lambda k: CASE WHEN p.bits[k] <> q.bits[k] THEN 1 ELSE 0 END)) AS INT) AS d
-  FROM b p JOIN b q ON p.i < q.i) WHERE d <= {t})"""
+  SELECT p.i, q.i AS j, CAST(bit_count(xor(p.lo, q.lo)) + bit_count(xor(p.hi, q.hi)) AS INT) AS d
+  FROM v p JOIN v q ON p.i < q.i AND bit_count(xor(p.lo, q.lo)) + bit_count(xor(p.hi, q.hi)) <= {{t}})"""

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from prismset import config as C
 from prismset.functions import boxes as B
 from prismset.operators import dedup, pixels, split
-from prismset.plans import catalogue, dataset
+from prismset.plans import autolabel, catalogue, dataset, flat
 from prismset.sources import annotations as A
+from prismset.sources import files
 from prismset.streaming import ingest
 
 GOOD = {
@@ -112,6 +113,9 @@ def test_settings(tmp_path):
     for change, what in (({"output_path": ".."}, "must stay inside"), ({"split": GOOD["split"] | {"test": 0.2}}, "sum to 1.0"), ({"classes": {-1: "a"}}, "class"), ({"resize": {"target_size": 0}}, "positive"), ({"deduplication": {"threshold": 65}}, "0 to 64")):
         with pytest.raises(ValueError, match=re.escape(what)):
             C.check(GOOD | change, tmp_path)
+    with pytest.raises(C.SettingsError) as e:
+        C.check({k: v for k, v in GOOD.items() if k != "classes"} | {"augmentation": {"hsv": {"probability": 2}}, "quality": {"min_box_area_ratio": 0.5, "max_box_area_ratio": 0.1}}, tmp_path)
+    assert len(e.value.complaints) == 3
 
 
 def test_image_pipeline(spark, tmp_path):
@@ -130,15 +134,31 @@ def test_image_pipeline(spark, tmp_path):
     (d / "bare.png").write_bytes(pixels.png(rng.integers(0, 255, (40, 60, 3)).astype(np.uint8)))
     (d / "HorFlip_i2.png").write_bytes((d / "i2.png").read_bytes())
     c = C.check(GOOD | {"input_path": str(tmp_path / "images")}, tmp_path)
+    (d / "bare2.png").write_bytes(pixels.png(rng.integers(0, 255, (40, 60, 3)).astype(np.uint8)))
+    (d / "bare2.txt").write_text("not a box\n")
+    (d / "bare3.png").write_bytes(pixels.png(rng.integers(0, 255, (40, 60, 3)).astype(np.uint8)))
+    (d / "bare3.txt").write_text("")
+    (d / "deep/RGB-D").mkdir(parents=True)
+    (d / "deep/RGB-D/x.png").write_bytes((d / "i2.png").read_bytes())
     got = dataset.run(spark, c)
-    status = {r["status"]: r["images"] for r in got["quality_report"]}
-    assert status == {"valid": 12, "corrupted": 1, "duplicate": 1, "low_quality": 1, "unannotated": 1}
+    assert got["summary"]["statuses"] == {"valid": 12, "corrupted": 1, "duplicate": 1, "low_quality": 1, "unannotated": 1, "invalid_annotation": 2}
+    every = next(r for r in got["ingestion_report"] if r["subfolder"] == "(all)")
+    assert (every["total"], every["valid"], every["variants"], every["excluded_modality"]) == (18, 14, 1, 1)
+    assert (got["annotation_report"]["records"], got["annotation_report"]["invalid_records"], got["annotation_report"]["classes"]) == (16, 2, {"grape": 14})
+    assert [r["reason"] for r in got["malformed_labels"]] == ["malformed"]
+    assert (got["deduplication_report"]["exact"], got["deduplication_report"]["near"], got["deduplication_report"]["by_subfolder"]) == (1, 0, {"s0": 1})
+    assert got["quality_report"]["blurred"] == 1 and len(got["quality_report"]["rejections"]) == 1 and not got["normalization"]["enabled"]
     assert sum(r["images"] for r in got["output_report"]) == 12
     out = tmp_path / "data/processed/v001"
     assert len(list(out.glob("*/images/*.png"))) == len(list(out.glob("*/labels/*.txt"))) == 12 and (out / "data.yaml").exists()
     assert json.loads((tmp_path / "reports/split_report.json").read_text()) == got["split_report"]
-    assert got["final_integrity_report"]["valid"] and got["previews"] == 6 and got["dataset_statistics"]["quarantined_images"] == 3
-    assert (tmp_path / "data/rejected/status=corrupted").is_dir()
+    assert got["final_integrity_report"]["valid"] and got["previews"] == {"before": 6, "after": 6} and got["dataset_statistics"]["after"]["quarantined_images"] == 5
+    assert sum(r["boxes"] for r in got["output_report"]) == sum(got["final_integrity_report"][s]["boxes"] for s in ("train", "val", "test"))
+    copied = sorted(p.relative_to(tmp_path / "data/rejected").as_posix() for p in (tmp_path / "data/rejected").rglob("*.png"))
+    assert copied == ["corrupted/s0_broken.png", "duplicate/s0_i0copy.png", "invalid_annotation/s0_bare2.png", "invalid_annotation/s0_bare3.png", "low_quality/s0_flat.png"]
+    (out / "train/labels/extra.txt").write_text("0 1.5 0.5 0.1 0.1\n")
+    again = dataset.integrity(spark, c)
+    assert not again["valid"] and len(again["errors"]) == 2
     with pytest.raises(FileExistsError):
         dataset.run(spark, c)
 
@@ -166,6 +186,125 @@ def test_scan_reads_each_subfolder_in_its_format(spark, tmp_path):
         assert [tuple(b) for b in got[k].boxes] == ([pytest.approx((0, 0.3, 0.3, 0.4, 0.4))] if status == "valid" else [])
 
 
+def test_the_first_coco_file_counts(spark, tmp_path):
+    """One file for each subfolder, the last of repeated image ids, sizes that are positive."""
+    images = [{"id": 1, "file_name": "old.png", "width": 10, "height": 10}, {"id": 1, "file_name": "a.png", "width": 60, "height": 40}, {"id": 2, "file_name": "b.png", "width": 0, "height": 40}]
+    notes = [{"image_id": k, "category_id": 5, "bbox": [6, 4, 24, 16]} for k in (1, 2)]
+    cats = [{"id": 5, "name": "other"}, {"id": 5, "name": "grape"}]
+    text = json.dumps({"images": images, "annotations": notes, "categories": cats})
+    df = spark.createDataFrame([("x", text)], "f string, c string")
+    assert [(r.file_name, r.class_id) for r in A.coco_boxes(df, "f", "c", {"grape": 0}).collect()] == [("a.png", 0)]
+    rows = [("s", "s/b.json", "json", "coco_json"), ("s", "s/a.json", "json", "coco_json"), ("s", "s/0.txt", "txt", "coco_json"), ("t", "t/0.json", "json", "custom")]
+    files = spark.createDataFrame(rows, "folder string, lpath string, ext string, fmt string")
+    assert [tuple(r) for r in dataset.first_json(files).collect()] == [("s", "s/a.json")]
+
+
+def test_custom_formats(spark):
+    df = spark.createDataFrame([("a.lab",)], "path string")
+    got = A.custom_boxes(df, "lab").first()
+    assert not got.valid and "lab" in got.error
+    assert A.custom_boxes(df, "lab", lambda f: f.selectExpr("path", "true AS valid")).first().valid
+
+
+def test_input_folder(tmp_path, monkeypatch):
+    (tmp_path / "work").mkdir()
+    (tmp_path / "images").mkdir()
+    monkeypatch.chdir(tmp_path / "work")
+    assert files.input_folder("images") == (tmp_path / "images").resolve().as_posix()
+    assert files.input_folder("hdfs://host/images/") == "hdfs://host/images"
+    with pytest.raises(FileNotFoundError):
+        files.input_folder("nowhere")
+
+
+def test_copies_share_a_split(spark):
+    """A duplicate group is the unit of the split, else the source image."""
+    rows = [(f"p{k}", "s", f"src{k // 2}", "valid", "p0" if k in (0, 7) else None, []) for k in range(40)]
+    df = spark.createDataFrame(rows, f"path string, subfolder string, provenance string, status string, grp string, boxes {dataset.BOX}")
+    got = {r.path: r.split for r in dataset.split_images(df, {"split": GOOD["split"]}).collect()}
+    assert got["p0"] == got["p7"] and all(got[f"p{k}"] == got[f"p{k + 1}"] for k in range(8, 40, 2)) and len(got) == 40
+
+
+def test_flat_pipeline(spark, tmp_path):
+    (tmp_path / "images/deep").mkdir(parents=True)
+    (tmp_path / "labels").mkdir()
+    png = pixels.png(np.zeros((4, 4, 3), np.uint8))
+    for k in range(20):
+        (tmp_path / f"images/i{k}.PNG").write_bytes(png)
+        if k < 17:
+            (tmp_path / f"labels/i{k}.txt").write_text("0.0 .5 .5 .1 .1 .9\nbad\n" * (k % 3))
+    (tmp_path / "images/deep/no.png").write_bytes(png)
+    (tmp_path / "out/old").mkdir(parents=True)
+    got = flat.run(spark, *(str(tmp_path / d) for d in ("images", "labels", "out", "reports")), {0: "grape"})
+    assert (got["images"], got["labelled"], got["unlabelled"], got["boxes"]) == (20, 17, 3, sum(k % 3 for k in range(17)))
+    assert {k: v["images"] for k, v in got["splits"].items()} == {"train": 11, "val": 2, "test": 4} and got["valid"]
+    out = tmp_path / "out"
+    assert not (out / "old").exists() and len(list(out.glob("*/images/*.PNG"))) == 17 and "0: grape" in (out / "data.yaml").read_text()
+    assert next(out.glob("*/labels/i1.txt")).read_text() == "0 0.500000 0.500000 0.100000 0.100000\n" and next(out.glob("*/labels/i0.txt")).read_text() == ""
+    assert json.loads((tmp_path / "reports/final_integrity_report.json").read_text()) == got
+
+
+def test_auto_label(spark, tmp_path):
+    png = pixels.png(np.zeros((20, 30, 3), np.uint8))
+    for n in "ab":
+        (tmp_path / f"{n}.png").write_bytes(png)
+    (tmp_path / "b.xml").write_text("<annotation/>")
+    made = autolabel.label(spark, str(tmp_path), lambda a: np.array([[-5, 2, 12.7, 9, 0.9], [1, 1, 5, 5, 0.4], [40, 1, 50, 5, 0.8]]), "a & b")
+    assert [(r.path.rsplit("/", 1)[1], r.boxes) for r in autolabel.write(made).collect()] == [("a.png", 1)]
+    text = (tmp_path / "a.xml").read_text()
+    assert "<name>a &amp; b</name><bndbox><xmin>0</xmin><ymin>2</ymin><xmax>12</xmax><ymax>9</ymax>" in text
+    assert autolabel.label(spark, str(tmp_path), lambda a: np.zeros((0, 5)), "x").count() == 0
+
+
+def test_command_line(tmp_path, monkeypatch, capsys):
+    import yaml
+
+    from prismset import cli
+
+    monkeypatch.chdir(tmp_path)
+    assert cli.main(["--config", "none.yaml"]) == 1
+    (tmp_path / "c.yaml").write_text(yaml.safe_dump(GOOD | {"resize": {"target_size": 0}}))
+    assert cli.main(["--config", "c.yaml", "--seed", "-1"]) == 2
+    said = capsys.readouterr().err
+    assert "resize.target_size" in said and "split.seed" in said
+
+
+def test_phash_is_the_low_cosine_terms():
+    rng = np.random.default_rng(2)
+    a = rng.integers(0, 255, (32, 32, 1)).astype(np.uint8).repeat(3, 2)
+    g = a[:, :, 0].astype(float)
+    low = np.array([[sum(g[y, x] * np.cos(np.pi * u * (2 * y + 1) / 64) * np.cos(np.pi * v * (2 * x + 1) / 64) for y in range(32) for x in range(32)) for v in range(8)] for u in range(8)])
+    bits = (low > np.median(low)).ravel()
+    assert pixels.perceptual_hash(a) == sum(1 << 63 - k for k in range(64) if bits[k]) - (1 << 63)
+
+
+def test_rotation_and_blur():
+    a = np.zeros((21, 21, 3), np.uint8)
+    a[10, 15] = 200
+    out, boxes = pixels.rotate(a, np.array([[0, 0.75, 0.5, 0.1, 0.1]]), 90)
+    assert out[5, 10, 0] == 200 and boxes[0, 1:3] == pytest.approx([0.5, 0.25]) and boxes[0, 3:] == pytest.approx([0.1, 0.1])
+    assert pixels.motion_blur(a, 5, False)[10, 13:18, 0].tolist() == [40] * 5 and (pixels.brightness_contrast(a, 0.1, 0.5)[10, 15] == 255).all()
+
+
+def test_ordinal_and_wide_pairs(spark):
+    df = spark.range(0, 500).selectExpr("id * 7 % 1000 AS r").distinct()
+    got = sorted((r.r, r.name) for r in dedup.ordinal(df, "g", "r").collect())
+    assert [n for _, n in got] == [f"g{k + 1}" for k in range(len(got))]
+    rng = np.random.default_rng(4)
+    h = rng.integers(0, 1 << 8, (60, 2))
+    h[50:] = h[:10]
+    rows = [(k, int(a), int(b)) for k, (a, b) in enumerate(h)]
+    df = spark.createDataFrame(rows, "i long, lo long, hi long")
+    far = lambda i, j: int(h[i, 0] ^ h[j, 0]).bit_count() + int(h[i, 1] ^ h[j, 1]).bit_count()
+    for t in (0, 3, 13):
+        want = [(i, j) for i in range(60) for j in range(i + 1, 60) if far(i, j) <= t]
+        assert sorted((r.i, r.j) for r in dedup.near_pairs(df, t).collect()) == want
+        member = {}
+        for i in range(60):
+            if i not in member:
+                member |= {b: i for a, b in want if a == i and b not in member}
+        assert {r.member: r.leader for r in dedup.near_leaders(df, t).collect()} == member
+
+
 def test_label_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.txt").write_text("0 .5 .5 .1 .1\nbad\n")
