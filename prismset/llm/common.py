@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import tempfile
 import types
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +72,20 @@ def id_hash(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary"))
 
 
+def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task; what making them took goes back to the system afterwards.
+
+    Workers live on between tasks, and without this each would keep the most
+    memory that any of its tasks has used.
+    """
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def worker_cache(key: object, make: Callable[[], object]) -> object:
     """A value made once in each Python worker, kept between its tasks."""
     held = sys.modules.setdefault("_prismset_worker_cache", types.ModuleType("_prismset_worker_cache")).__dict__

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prismset.llm.common import discard, materialize
+from prismset.llm.common import discard, lean, materialize
 
 #: Edges that one union-find pass holds at once.
 CHUNK_EDGES = 1_000_000
@@ -109,7 +109,7 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """
     a, b = edges.columns[:2]
     e = edges.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).where("u > v")
-    held = materialize(e.mapInArrow(local_forest, "u long, v long"), "links")
+    held = materialize(e.mapInArrow(lambda it: lean(local_forest(it)), "u long, v long"), "links")
     for _ in range(max_rounds):
         mixed = held.join(held.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count()
         twice = mixed or held.groupBy("u").count().where("count > 1").limit(1).count()

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismset.llm.common import materialize
+from prismset.llm.common import lean, materialize
 from prismset.llm.components import UnionFind, components
 from prismset.session import table
 
@@ -219,7 +219,7 @@ def near_embeddings(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
                 links, uf = {}, UnionFind()
         yield _flush(links, uf)
 
-    found = materialize(dealt.mapInArrow(verify, "node long, other long, links long"), "found")
+    found = materialize(dealt.mapInArrow(lambda it: lean(verify(it)), "node long, other long, links long"), "found")
     joined = components(found.where("other is not null").select("node", "other"))
     counts = found.where("links is not null").groupBy("node").agg(F.sum("links").alias("links"))
     classes = nodes.join(counts, "node", "left").join(joined.withColumnRenamed("id", "node"), "node", "left")

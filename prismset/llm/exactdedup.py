@@ -27,11 +27,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismset.llm.common import SPACE, materialize, row_key
+from prismset.llm.common import SPACE, lean, materialize, row_key
 from prismset.session import table
 
 #: Bytes of content that one table holds before it is emptied or spilled.
-TABLE_BYTES = 64 << 20
+TABLE_BYTES = 32 << 20
 #: Spill files of one level; each level uses the next four bits of the hash.
 FAN_OUT = 16
 MAX_LEVEL = 12
@@ -133,13 +133,13 @@ def _local(batches: Iterator[pa.RecordBatch], table_bytes: int) -> Iterator[pa.R
                 held = OpenTable()
                 for x in again:
                     held.put(x)
-                for k in range(0, len(once), 2000):
-                    yield out(once[k : k + 2000])
+                for k in range(0, len(once), 1000):
+                    yield out(once[k : k + 1000])
         none = pa.nulls(len(ids), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), b.column(3), pa.array(numbers, pa.int64()), none, none, none, pa.nulls(len(ids), pa.binary())], names)
     rest = held.entries()
-    for k in range(0, len(rest), 2000):
-        yield out(rest[k : k + 2000])
+    for k in range(0, len(rest), 1000):
+        yield out(rest[k : k + 1000])
 
 
 def grace(records: Iterable[tuple], table_bytes: int, level: int = 0) -> Iterator[Entry]:
@@ -185,8 +185,9 @@ def _classes(batches: Iterator[pa.RecordBatch], table_bytes: int) -> Iterator[pa
 
     def records() -> Iterator[tuple]:
         for b in batches:
-            for id_, key, entry, count, n, h, packed in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                yield h + (1 << 63), open_(packed), count, (-n, id_ is None, id_ or 0, key), [entry]
+            for at in range(0, b.num_rows, 256):
+                for id_, key, entry, count, n, h, packed in zip(*(c.to_pylist() for c in b.slice(at, 256).columns), strict=True):
+                    yield h + (1 << 63), open_(packed), count, (-n, id_ is None, id_ or 0, key), [entry]
 
     rows: list[tuple] = []
     for e in grace(records(), table_bytes):
@@ -211,11 +212,11 @@ def exact_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ta
     """
     src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), F.coalesce(F.length(F.col(text_col)), F.lit(0)).cast("long").alias("n"), row_key(df).alias("key"))
     local = materialize(
-        src.mapInArrow(lambda it: _local(it, table_bytes), "doc_id long, key long, entry long, count long, best_n long, hash long, packed binary"),
+        src.mapInArrow(lambda it: lean(_local(it, table_bytes)), "doc_id long, key long, entry long, count long, best_n long, hash long, packed binary"),
         "grace",
     )
     dealt = local.where("count is not null").repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "hash").select("doc_id", "key", "entry", "count", "best_n", "hash", "packed")
-    classes = dealt.mapInArrow(lambda it: _classes(it, table_bytes), "entry long, keep_id long, keep_key long, group_size long, text_sha256 string")
+    classes = dealt.mapInArrow(lambda it: lean(_classes(it, table_bytes)), "entry long, keep_id long, keep_key long, group_size long, text_sha256 string")
     rows = local.where("count is null").select("doc_id", "key", "entry")
     return rows.join(classes, "entry").drop("entry")
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from prismset.llm.common import id_hash, materialize, row_key
+from prismset.llm.common import id_hash, lean, materialize, row_key
 from prismset.session import table
 
 #: Bytes of a window, units of each direction.
@@ -239,7 +239,7 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
             if ids:
                 yield out()
 
-    said = docs.select("doc_id", F.when(F.col("text").rlike(r"\p{L}"), F.col("text").cast("binary")).alias("text")).mapInArrow(predict, "doc_id long, lang_pred string, score double")
+    said = docs.select("doc_id", F.when(F.col("text").rlike(r"\p{L}"), F.col("text").cast("binary")).alias("text")).mapInArrow(lambda it: lean(predict(it)), "doc_id long, lang_pred string, score double")
     return said.select("doc_id", (F.coalesce(id_hash(F.col("doc_id")), F.lit(0)) % folds == held).alias("held_out"), "lang_pred", "score")
 
 

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismset.llm.common import discard, materialize
+from prismset.llm.common import discard, lean, materialize
 from prismset.llm.minhash import GOLDEN, among, band_keys, bitmap, candidates, linked, one_each
 from prismset.session import table
 
@@ -148,7 +148,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     members = candidates(docs.select("text"), _signed, "members")
     wanted = members.select("id").distinct()
     held = df.sparkSession.sparkContext.broadcast(bitmap(wanted))  # of a bounded size
-    lines = materialize(docs.mapInArrow(lambda it: _occurrences(it, held.value), "doc_id long, line_no int, id long, line binary"), "lines")
+    lines = materialize(docs.mapInArrow(lambda it: lean(_occurrences(it, held.value)), "doc_id long, line_no int, id long, line binary"), "lines")
     texts = materialize(one_each(lines.where("line IS NOT NULL").select("id", "line"), wanted), "texts")
     joined = linked(members, texts, similarity, code_sets)
     discard(members)

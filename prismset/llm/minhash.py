@@ -23,15 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prismset.llm.common import discard, materialize
+from prismset.llm.common import discard, lean, materialize
 from prismset.llm.components import components
 
 #: Texts to their codes, repeats allowed.
 Codes = Callable[[list[bytes]], list[np.ndarray]]
 #: (band, id) pairs that a task gathers before it sends them, pairs sorted in memory
 #: at once, files that more of them are spread over.
-SENT = 1 << 21
-SORTED = 1 << 22
+SENT = 1 << 20
+SORTED = 1 << 21
 FILES = 16
 #: Logarithm of the largest bitmap (16 MB), bits for each id as long as that allows.
 BITMAP = 27
@@ -158,8 +158,8 @@ def candidates(df: DataFrame, sign: Callable[[Iterator[pa.RecordBatch]], Iterato
     ``sign`` makes (ids, keys of all bands) from the batches of ``df``.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.mapInArrow(lambda it: _sent(sign(it), parts), "part int, block binary").repartitionById(parts, F.col("part"))
-    found = dealt.mapInArrow(lambda it: _members(it), "grp long, id long, first long")
+    dealt = df.mapInArrow(lambda it: lean(_sent(sign(it), parts)), "part int, block binary").repartitionById(parts, F.col("part"))
+    found = dealt.mapInArrow(lambda it: lean(_members(it)), "grp long, id long, first long")
     return materialize(found, name)
 
 
@@ -194,6 +194,12 @@ def one_each(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line")).withColumn("size", F.octet_length("line"))
 
 
+def _rows(b: pa.RecordBatch) -> Iterator[tuple]:
+    """The rows of a batch as Python values, a few at a time."""
+    for k in range(0, b.num_rows, 256):
+        yield from zip(*(c.to_pylist() for c in b.slice(k, 256).columns), strict=True)
+
+
 def _verify(batches: Iterator[pa.RecordBatch], similarity: float, codes: Codes) -> Iterator[pa.RecordBatch]:
     """Links among pairs (a, b, text of a, text of b)."""
 
@@ -205,7 +211,7 @@ def _verify(batches: Iterator[pa.RecordBatch], similarity: float, codes: Codes)
     for b in batches:
         hit: list[bool] = []
         rows, size = [], 0
-        for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        for r in _rows(b):
             rows.append(r)
             size += len(r[2]) + len(r[3])
             if size >= CODED:
@@ -262,7 +268,7 @@ def _compare(batches: Iterator[pa.RecordBatch], similarity: float, codes: Codes)
     last = None
     for b in batches:
         found = []
-        for grp, i, j, *r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        for grp, i, j, *r in _rows(b):
             if (grp, i, j) != last:
                 found += links() if rows else []
                 rows, last = [], (grp, i, j)
@@ -283,7 +289,7 @@ def linked(members: DataFrame, texts: DataFrame, similarity: float, codes: Codes
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = members.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     pairs = pairs.join(texts.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b").join(texts.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
-    once = materialize(components(pairs.select("a", "b", "line_a", "line_b").mapInArrow(lambda it: _verify(it, similarity, codes), "a long, b long")), "once")
+    once = materialize(components(pairs.select("a", "b", "line_a", "line_b").mapInArrow(lambda it: lean(_verify(it, similarity, codes)), "a long, b long")), "once")
 
     named = members.where("grp IS NOT NULL").select("grp", "id").distinct()
     named = materialize(named.join(texts.select("id", "size"), "id").join(once, "id", "left").select("grp", "id", "size", F.coalesce("component_id", "id").alias("comp")), "named")
@@ -295,7 +301,7 @@ def linked(members: DataFrame, texts: DataFrame, similarity: float, codes: Codes
     told = rest.select("grp", every.alias("i"), F.col("mine").alias("j"), F.lit(False).alias("asks"), "id", "comp")
     dealt = asks.unionByName(told).where("i <= j").join(texts.select("id", "line"), "id").select("grp", "i", "j", "asks", "id", "comp", "line")
     dealt = dealt.repartition(n, "grp", "i", "j").sortWithinPartitions("grp", "i", "j")
-    more = components(dealt.mapInArrow(lambda it: _compare(it, similarity, codes), "a long, b long")).select(F.col("id").alias("comp"), F.col("component_id").alias("over"))
+    more = components(dealt.mapInArrow(lambda it: lean(_compare(it, similarity, codes)), "a long, b long")).select(F.col("id").alias("comp"), F.col("component_id").alias("over"))
     joined = once.select("id", F.col("component_id").alias("comp")).join(more, "comp", "left").select("id", F.coalesce("over", "comp").alias("component_id"))
     alone = more.join(once.select(F.col("id").alias("comp")), "comp", "left_anti").select(F.col("comp").alias("id"), F.col("over").alias("component_id"))
     out = materialize(joined.unionByName(alone), "joined")

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismset.llm.common import worker_cache
+from prismset.llm.common import lean, worker_cache
 from prismset.session import table
 
 WINDOW = 4096
@@ -34,10 +34,10 @@ END_ID = 2
 CLASSES = 32
 DEPTH = 4
 #: Tokens of a buffer, and words whose ids a worker remembers (twice over).
-BUFFER_TOKENS = 3_000_000
+BUFFER_TOKENS = 2_000_000
 #: ASCII marks that never join a letter or digit before them in one token.
 MARKS = b".,;:!?*$%&#|"
-WORDS_HELD = 400_000
+WORDS_HELD = 100_000
 
 
 def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -248,7 +248,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenize
             yield from out(True)
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, schema)
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(lambda it: lean(run(it)), schema)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

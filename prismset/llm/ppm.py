@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismset.llm.common import discard, id_hash, materialize, worker_cache
+from prismset.llm.common import discard, id_hash, lean, materialize, worker_cache
 from prismset.session import table
 
 #: Context length in bytes.
@@ -314,7 +314,7 @@ def window_scores(codes: DataFrame, order: int) -> DataFrame:
         low.append((c[o], n[o]))
     dealt = codes.select(F.shiftrightunsigned("code", 8).bitwiseAND(F.lit((1 << 8 * DEALT) - 1)).alias("ctx"), "code", "n", "m")
     dealt = dealt.repartition(parts, "ctx").sortWithinPartitions("ctx")
-    return dealt.mapInArrow(lambda it: _score_windows(it, low, order), "code long, m long, lp float")
+    return dealt.mapInArrow(lambda it: lean(_score_windows(it, low, order)), "code long, m long, lp float")
 
 
 def lm_score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, held: int = 0, order: int = ORDER, hot_words: int = HOT_WORDS, hot_codes: int = HOT_CODES) -> DataFrame:
@@ -331,7 +331,7 @@ def lm_score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     learnt = F.coalesce(id_hash(F.col("doc_id")), F.lit(0)) % folds != held
-    partial = materialize(docs.select("text", learnt.alias("learnt")).mapInArrow(lambda it: _gather(it, order), "code long, word binary, n long, m long"), "partial")
+    partial = materialize(docs.select("text", learnt.alias("learnt")).mapInArrow(lambda it: lean(_gather(it, order)), "code long, word binary, n long, m long"), "partial")
     words = materialize(partial.where("word is not null").groupBy("word").agg(F.sum("n").alias("c")), "words")
     codes = materialize(partial.where("code is not null").groupBy("code").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "codes")
     discard(partial)
@@ -381,7 +381,7 @@ def lm_score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
             yield pa.RecordBatch.from_arrays([ids, b.column(1).take(pa.array(rows)), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64()), pa.array(got), rare, far], ["row", "doc_id", "n_tokens", "known", "base", "score", "rare", "far"])
 
     scored = materialize(
-        docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(score, "row long, doc_id long, n_tokens long, known long, base double, score double, rare array<struct<w:binary,k:long>>, far array<struct<code:long,k:long>>"),
+        docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(lambda it: lean(score(it)), "row long, doc_id long, n_tokens long, known long, base double, score double, rare array<struct<w:binary,k:long>>, far array<struct<code:long,k:long>>"),
         "scored",
     )
     rare = scored.select("row", F.explode("rare").alias("x")).select("row", F.col("x.w").alias("word"), F.col("x.k").alias("k"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prismset.llm.common import id_hash
+from prismset.llm.common import id_hash, lean
 from prismset.session import table
 
 #: Labelled rows of each class that training reads at most (those with the
@@ -109,7 +109,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", labe
         one = known.where(F.col("label") == k).orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(sample)
         picked = one if picked is None else picked.unionByName(one)
     rows = docs.join(F.broadcast(picked), "doc_id").groupBy("label", "doc_id").agg(F.min("text").alias("text"))  # of several rows of one id the first text
-    got = rows.mapInArrow(_features, "label int, doc_id long, x array<double>").orderBy("doc_id", "label").toArrow().to_pandas()  # at most 2 * sample ids
+    got = rows.mapInArrow(lambda it: lean(_features(it)), "label int, doc_id long, x array<double>").orderBy("doc_id", "label").toArrow().to_pandas()  # at most 2 * sample ids
     x = np.array(got["x"].tolist(), dtype=np.float64)
     share = np.array([counts.get(0, 0), counts.get(1, 0)], float)
     return fit(x, got["label"].to_numpy(), share / max(1.0, share.sum()))
@@ -133,7 +133,7 @@ def score_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
             p = 1 / (1 + np.exp(-np.clip(s, -500, 500)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p)], ["doc_id", "score"])
 
-    out = docs.mapInArrow(score, "doc_id long, score double")
+    out = docs.mapInArrow(lambda it: lean(score(it)), "doc_id long, score double")
     return out.select("doc_id", (F.coalesce(id_hash(F.col("doc_id")), F.lit(-1)) % folds == held).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
@@ -148,7 +148,7 @@ def keep_good(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
         for b in batches:
             yield b.filter(pa.array([features((t.as_py() or "").encode(), lut) @ w >= cut for t in b.column(at)], pa.bool_()))
 
-    return df.mapInArrow(good, df.schema)
+    return df.mapInArrow(lambda it: lean(good(it)), df.schema)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
