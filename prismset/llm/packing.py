@@ -37,7 +37,7 @@ DEPTH = 4
 BUFFER_TOKENS = 2_000_000
 #: ASCII marks that never join a letter or digit before them in one token.
 MARKS = b".,;:!?*$%&#|"
-WORDS_HELD = 100_000
+WORDS_HELD = 400_000
 
 
 def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -144,8 +144,9 @@ class WordIds(dict):
     hold an added token, in its own case, are left to the tokenizer as they stand.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, held: int = WORDS_HELD) -> None:
         super().__init__()
+        self.held = held
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -178,7 +179,7 @@ class WordIds(dict):
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def text(self, text: bytes, end: bytes) -> bytes:
-        if len(self) > WORDS_HELD:
+        if len(self) > self.held:
             self.old = dict(self)
             self.clear()
         if any(m in text for m in self.marks):
@@ -196,7 +197,7 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False, buffer_tokens: int = BUFFER_TOKENS) -> DataFrame:
+def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False, buffer_tokens: int = BUFFER_TOKENS, words_held: int = WORDS_HELD) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids).
 
     Every id of every document lies in exactly one piece; a null or empty text is
@@ -205,11 +206,13 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenize
     the upper bits). Rows repeated under one id, or with a null id, are documents
     of their own. An empty table gives no piece. ``tokenizer`` is a path that every
     executor can read. No rows are shuffled: each task packs what it reads.
+    ``words_held`` trades memory of the workers (about 400 bytes a word) for time and
+    never changes a piece.
     """
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = worker_cache(("word-ids", path), lambda: WordIds(path))
+        words = worker_cache(("word-ids", path, words_held), lambda: WordIds(path, words_held))
         end = np.array([end_id], "<u4").tobytes()
         seq = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         # what a buffer left over: (doc_id, ids of the piece, its start, tokens of the document)
