@@ -2,11 +2,12 @@
 
 A unit vector is cut into two halves with a codebook each, learned by k-means
 on a bounded sample; the pairs of code words form a grid of cells. Every vector
-lies in the cell of its nearest code words and, as a query, visits cells in the
-order of a multi-sequence traversal: cheapest sum of the two squared distances
-first. It stops where the sum has grown by ``reach`` over its own cell's, a
-bound calibrated until the target recall is met, on links in the sample and on
-random neighbours of the sample that lie exactly at the threshold.
+lies in the cell of its nearest code words and, as a query, visits the cells that
+a multi-sequence traversal (cheapest sum of the two squared distances first) meets
+before the sum has grown by ``reach`` over its own cell's. That bound is where the
+traversal reaches the target recall, on links in the sample and on random
+neighbours of the sample that lie exactly at the threshold. As all cells before
+the bound are visited, they are made by two sorted lists without a queue.
 Every candidate is verified in double precision.
 
 Equal vectors are one node. Cells with many members are cut into blocks and the
@@ -31,7 +32,7 @@ MIN_COSINE = 0.9
 #: Vectors that the codebooks and the reach are learned from (lowest hashes).
 SAMPLE = 8192
 #: Vectors that a cell of the grid should hold on average; gives the code words.
-CELL_ROWS = 64
+CELL_ROWS = 512
 #: Share of links that the traversal must find, also of links at the threshold.
 TARGET_RECALL = 0.99
 #: Members of a cell, and visitors, that one task compares at once.
@@ -90,20 +91,15 @@ class MultiIndex:
         return d1.argmin(axis=1) * len(self.books[1]) + d2.argmin(axis=1)
 
     def visited(self, x: np.ndarray) -> list[np.ndarray]:
-        """Cells of each vector in multi-sequence order, up to the reach."""
+        """The cells that the traversal meets from each vector up to the reach."""
         d1, d2 = self.distances(x)
         k2 = d2.shape[1]
         out = []
         for r1, r2 in zip(d1, d2, strict=True):
             o1, o2 = r1.argsort(), r2.argsort()
             s1, s2 = r1[o1] - r1[o1[0]], r2[o2] - r2[o2[0]]
-            cells, costs = [], []
-            for i in range(np.searchsorted(s1, self.reach, "right")):  # rows of the sorted grid
-                n = np.searchsorted(s2, self.reach - s1[i], "right")
-                cells.append(o1[i] * k2 + o2[:n])
-                costs.append(s1[i] + s2[:n])
-            cells, costs = np.concatenate(cells), np.concatenate(costs)
-            out.append(cells[np.argsort(costs, kind="stable")])
+            ends = np.searchsorted(s2, self.reach - s1[: np.searchsorted(s1, self.reach, "right")], "right")  # in each row of the sorted grid
+            out.append(np.concatenate([o1[i] * k2 + o2[:n] for i, n in enumerate(ends)]))
         return out
 
 
