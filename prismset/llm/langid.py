@@ -208,8 +208,10 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & F.col("doc_id").isNotNull() & (id_hash(F.col("doc_id")) % folds != held)).withColumn("key", row_key(docs))
     place = F.md5(F.concat(F.lit(f"{seed}|"), F.col("doc_id").cast("string")))
-    # the first of each language are cut in every task before they meet
-    few = known.select("lang", "key", place.alias("place")).withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("place", "key"))).where(F.col("k") <= sample)
+    # about twice the sample of each language is dealt out, then cut exactly
+    counts = materialize(known.groupBy("lang").agg(F.count("*").alias("n")), "languages")  # a row for each; sent to every task while that is small
+    some = known.select("lang", "key", place.alias("place")).join(counts, "lang").where(F.conv(F.substring("place", 1, 8), 16, 10).cast("double") / 2.0**32 * F.col("n") < 2.0 * sample + 100.0)
+    few = some.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("place", "key"))).where(F.col("k") <= sample)
     few = materialize(few.select("key").distinct(), "picked")  # of a known size, so that the planner sends it to every task while it is small
     got = known.join(few, "key", "left_semi").dropDuplicates(["key"]).select("lang", "doc_id", F.col("text").cast("binary").alias("text"))
     got = got.mapInArrow(lambda it: _sample(it, windows), "lang string, doc_id long, window binary").orderBy("lang", "doc_id", "window").toArrow().to_pandas()  # at most sample * windows of a language
