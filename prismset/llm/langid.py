@@ -70,43 +70,50 @@ class BiGru:
         return states, held
 
     def _states(self, d: str, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        """The states of ``_run``, worked out in place."""
-        hu, wx, u = self.units, self.p[f"x{d}"], self.p[f"u{d}"]
+        """The states of ``_run``, worked out in place, each gate in arrays of its own.
+
+        A logistic gate is (1 + tanh(a / 2)) / 2: its weights are halved beforehand,
+        as is what the reset gate multiplies.
+        """
+        hu = self.units
+        wz, wr, wn = (np.ascontiguousarray(w) for w in np.split(self.p[f"x{d}"], 3, axis=1))
+        wz, wr = wz * np.float32(0.5), wr * np.float32(0.5)
+        uz, ur, un = (np.ascontiguousarray(w) * np.float32(0.5) for w in np.split(self.p[f"u{d}"], 3, axis=1))
         h = np.zeros((len(x), hu), np.float32)
         states = np.empty((x.shape[1], len(x), hu), np.float32)
-        s, z, r = np.empty((len(x), 3 * hu), np.float32), np.empty_like(h), np.empty_like(h)
+        z, r, n, s = (np.empty_like(h) for _ in range(4))
         whole = mask.all(axis=0)
-        columns = np.ascontiguousarray(x.T)
+        columns = np.ascontiguousarray(x.T).astype(np.intp)
         for t in range(x.shape[1]) if d == "f" else range(x.shape[1] - 1, -1, -1):
-            g = wx.take(columns[t], axis=0)
-            np.matmul(h, u, out=s)
-            for gate, k in ((z, 0), (r, hu)):
-                np.add(g[:, k : k + hu], s[:, k : k + hu], out=gate)
-                gate *= 0.5
+            for gate, w, u in ((z, wz, uz), (r, wr, ur)):
+                w.take(columns[t], axis=0, out=gate, mode="clip")
+                gate += np.matmul(h, u, out=s)
                 np.tanh(gate, out=gate)
-                gate *= 0.5
-                gate += 0.5
-            r *= s[:, 2 * hu :]
-            r += g[:, 2 * hu :]
-            np.tanh(r, out=r)  # the candidate
+                gate += 1
+            z *= 0.5
+            wn.take(columns[t], axis=0, out=n, mode="clip")
+            np.matmul(h, un, out=s)
+            s *= r
+            n += s
+            np.tanh(n, out=n)  # the candidate
             new = states[t]
-            np.subtract(h, r, out=new)
+            np.subtract(h, n, out=new)
             new *= z
-            new += r
+            new += n
             if not whole[t]:
                 new *= mask[:, t, None]
             h = new
         return states
 
     def positions(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        """Probabilities (time, batch, class) of every position."""
-        y = self._states("f", x, mask) @ self.p["of"]
-        y += self._states("b", x, mask) @ self.p["ob"]
-        y += self.p["b"]
-        y -= y.max(axis=-1, keepdims=True)
+        """Probabilities (class, time, batch) of every position."""
+        y = self.p["of"].T @ self._states("f", x, mask).reshape(-1, self.units).T
+        y += self.p["ob"].T @ self._states("b", x, mask).reshape(-1, self.units).T
+        y += self.p["b"][:, None]
+        y -= y.max(axis=0)
         np.exp(y, out=y)
-        y /= y.sum(axis=-1, keepdims=True)
-        return y
+        y /= y.sum(axis=0)
+        return y.reshape(-1, x.shape[1], len(x))
 
     def gradients(self, x: np.ndarray, mask: np.ndarray, label: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean cross-entropy over the positions and its gradients (BPTT)."""
@@ -174,7 +181,7 @@ def as_windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def pool(net: BiGru, texts: list[bytes]) -> np.ndarray:
     """Mean probabilities over all positions of each (non-empty) text."""
     x, mask, n = as_windows(texts)
-    sums = np.concatenate([np.einsum("tbk,bt->bk", net.positions(x[i : i + RUN], mask[i : i + RUN]), mask[i : i + RUN]) for i in range(0, len(x), RUN)])
+    sums = np.concatenate([(net.positions(x[i : i + RUN], mask[i : i + RUN]) * mask[i : i + RUN].T).sum(axis=1).T for i in range(0, len(x), RUN)])
     total = np.add.reduceat(sums, np.r_[0, np.cumsum(n)[:-1]], axis=0)
     return total / np.array([len(t) for t in texts], np.float32)[:, None]
 

@@ -110,6 +110,21 @@ def test_gradients_of_the_network():
             assert g[k][at] == pytest.approx((up - down) / (2 * e), rel=2e-3, abs=1e-5), k
 
 
+def test_inference_equals_the_training_pass():
+    rng = np.random.default_rng(5)
+    net = langid.BiGru(3, 8, 2)
+    texts = [bytes(rng.integers(0, 256, n, dtype=np.uint8)) for n in (1, 63, 64, 65, 300)]
+    x, mask, n = langid.as_windows(texts)
+    y = net.p["b"] + net._run("f", x, mask, False)[0] @ net.p["of"] + net._run("b", x, mask, False)[0] @ net.p["ob"]
+    q = np.exp(y) / np.exp(y).sum(axis=-1, keepdims=True)
+    assert np.allclose(net.positions(x, mask), np.moveaxis(q, -1, 0), atol=1e-6)
+    owner = np.repeat(np.arange(len(texts)), n)
+    for k, t in enumerate(texts):
+        at = [(w, j) for w in np.flatnonzero(owner == k) for j in range(langid.WINDOW) if mask[w, j]]
+        assert len(at) == len(t)
+        assert np.allclose(langid.pool(net, texts)[k], np.mean([q[j, w] for w, j in at], axis=0), atol=1e-5)
+
+
 def test_language_of_held_out_documents(spark):
     got = langid.identify(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).alias("p")
     both = got.join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), "doc_id").where("held_out and lang is not null and length(text) >= 40").collect()
