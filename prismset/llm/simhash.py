@@ -145,8 +145,10 @@ def _links(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.Reco
     parts: list[tuple[np.ndarray, np.ndarray]] = []
     for b in batches:
         a, f = b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64)
+        if not len(a):
+            continue
         parts.append((a, f))
-        if not len(a) or parts[0][0][0] == a[-1]:  # one anchor so far
+        if parts[0][0][0] == a[-1]:  # one anchor so far
             continue
         a, f = np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
         k = np.searchsorted(a, a[-1])
@@ -180,7 +182,8 @@ def simhash_near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "simhash",
     )
     nodes = docs.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    near = replicate(docs.select("fp").distinct().repartition(n)).repartition(n, "anchor")  # many tasks to replicate in.sortWithinPartitions("anchor")
+    spread = docs.select("fp").distinct().repartition(n)  # many tasks to replicate in
+    near = replicate(spread).repartition(n, "anchor").sortWithinPartitions("anchor")  # _links takes each anchor's rows from one run
     links = near.mapInArrow(lambda it: lean(_links(it, max_bits)), "a long, b long")
     joined = components(links)  # over fingerprints; then to the smallest document of each
     classes = nodes.join(joined, nodes.fp == joined.id, "left").select("fp", "rep", F.coalesce("component_id", "fp").alias("root"))

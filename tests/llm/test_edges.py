@@ -252,6 +252,26 @@ def test_hamming_masks_cover():
             assert len(home) == 1 and syndrome(home[0]) == 0 and home[0] in {y ^ m for m in masks[syndrome(y)]}
 
 
+def test_simhash_links_of_groups(spark):
+    """Near copies in groups of many: components are those of all pairs of fingerprints."""
+    rng = np.random.default_rng(8)
+    data = []
+    for size in (150, 80, *[4] * 60):
+        base = [f"w{x}" for x in rng.integers(0, 5000, 150)]
+        for _ in range(size):
+            words = list(base)
+            words[int(rng.integers(150))] = f"n{rng.integers(0, 5000)}"
+            data.append((len(data), " ".join(words)))
+    got = simhash.simhash_near_dedup(spark.createDataFrame(data, "doc_id long, text string"), words=4).collect()
+    fp = np.array([int(r.fingerprint, 16) for r in sorted(got)], np.uint64)
+    near = np.bitwise_count(fp[:, None] ^ fp[None]) <= 4
+    up = np.arange(len(fp))
+    while (new := np.where(near, up[None], len(fp)).min(axis=1)).tolist() != up.tolist():
+        up = new
+    assert (np.unique(up, return_counts=True)[1] > 100).any() and len(np.unique(fp)) > len(np.unique(up)) + 50
+    assert [r.component_id for r in sorted(got)] == up.tolist()
+
+
 def test_fingerprints_follow_the_definition(docs):
     import re
 
