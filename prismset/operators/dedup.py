@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -37,8 +40,11 @@ def distance(a: str, b: str) -> Column:
     return F.bit_count(F.col(f"{a}.lo").bitwiseXOR(F.col(f"{b}.lo"))) + F.bit_count(F.col(f"{a}.hi").bitwiseXOR(F.col(f"{b}.hi")))
 
 
-#: Rows of a block when all pairs are compared.
-BLOCK = 1000
+#: Rows of a block when all pairs are compared, at most and at least; hashes of it
+#: that are compared with one hash at once.
+BLOCK = 1 << 17
+LEAST_BLOCK = 1 << 10
+TILE = 1 << 14
 
 
 def _probes(t: int) -> tuple[Column, Column]:
@@ -56,13 +62,61 @@ def _probes(t: int) -> tuple[Column, Column]:
     return own, F.concat(*(flips(k, lo, hi) for k, (lo, hi) in enumerate(spans)))
 
 
+def _within(a: np.ndarray, b: np.ndarray, t: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in ``a`` and ``b`` of hashes at most ``t`` bits apart, a tile of ``b`` at a time; of ``a`` with itself each pair once."""
+    for s in range(0, len(b), TILE):
+        tile = b[s : s + TILE]
+        bits, n = np.empty_like(tile), np.empty(len(tile), np.uint8)
+        at, other = [], []
+        for r in range(min(len(a), s + len(tile)) if a is b else len(a)):
+            k = max(0, r + 1 - s) if a is b else 0
+            np.bitwise_xor(tile[k:], a[r], out=bits[k:])
+            np.bitwise_count(bits[k:], out=n[k:])
+            hit = np.flatnonzero(n[k:] <= t)
+            if len(hit):
+                at.append(np.full(len(hit), r))
+                other.append(hit + (k + s))
+        if at:
+            yield np.concatenate(at), np.concatenate(other)
+
+
+def _block_pairs(batches: Iterator[pa.RecordBatch], t: int) -> Iterator[pa.RecordBatch]:
+    """(i, j, d) of the pairs of blocks (k, m) in sorted rows (k, m, mine, i, whole)."""
+
+    def found() -> Iterator[pa.RecordBatch]:
+        mine, i, h = (np.concatenate(x) for x in zip(*held, strict=True))
+        (k, m), h = last, h.view(np.uint64)
+        ids = [i[mine == x] for x in (k, m)]
+        a = h[mine == k]
+        b = a if k == m else h[mine == m]
+        for x, y in _within(a, b, t):
+            d = np.bitwise_count(a[x] ^ b[y]).astype(np.int32)
+            x, y = ids[0][x], ids[1][y]
+            one = x != y
+            yield pa.RecordBatch.from_arrays([pa.array(c[one]) for c in (np.minimum(x, y), np.maximum(x, y), d)], ["i", "j", "d"])
+
+    held: list[tuple[np.ndarray, ...]] = []
+    last = None
+    for batch in batches:
+        k, m, *rest = (c.to_numpy() for c in batch.columns)
+        cut = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (m[1:] != m[:-1])]) if len(k) else []
+        for s, e in zip(cut, [*cut[1:], len(k)], strict=True):
+            if (k[s], m[s]) != last:
+                if held:
+                    yield from found()
+                held, last = [], (k[s], m[s])
+            held.append(tuple(c[s:e] for c in rest))
+    if held:
+        yield from found()
+
+
 def near_pairs(hashes: DataFrame, t: int) -> DataFrame:
     """(i, j, d) with i < j of 64-bit hashes (i, lo, hi) at most ``t`` bits apart.
 
     Up to 12 bits one side of an equi-join on (band, value) brings its bands, the
     other the same with up to one bit flipped. Beyond, bands would be too short to
     select anything, and the exact answer is a comparison of all pairs: rows are
-    dealt into blocks of about BLOCK, and pairs of blocks are joined.
+    dealt into blocks, and each pair of blocks is compared in numpy, by one task.
     """
     whole = F.shiftleft("hi", 32).bitwiseOR(F.col("lo"))
     rows = hashes.select("i", "lo", "hi")
@@ -72,16 +126,20 @@ def near_pairs(hashes: DataFrame, t: int) -> DataFrame:
         a = rows.select("i", "lo", "hi", F.explode(own).alias("at")).select("i", "lo", "hi", "at.band", "at.value").alias("a")
         b = rows.select("i", "lo", "hi", F.explode(probes).alias("at")).select("i", "lo", "hi", "at.band", "at.value").alias("b")
         on = (F.col("a.band") == F.col("b.band")) & (F.col("a.value") == F.col("b.value"))
-    else:
-        rows = _stored(rows)
-        n = -(-rows.count() // BLOCK) or 1
-        dealt = rows.withColumn("mine", F.pmod(F.xxhash64("i"), F.lit(n)).cast("int"))
-        every = F.sequence(F.lit(0), F.lit(n - 1))
-        a = dealt.select("i", "lo", "hi", F.col("mine").alias("k"), F.explode(every).alias("m")).alias("a")
-        b = dealt.select("i", "lo", "hi", F.explode(every).alias("k"), F.col("mine").alias("m")).alias("b")
-        on = (F.col("a.k") == F.col("b.k")) & (F.col("a.m") == F.col("b.m"))
-    found = a.join(b, on & (F.col("a.i") < F.col("b.i")) & (distance("a", "b") <= t))
-    return found.select(F.col("a.i").alias("i"), F.col("b.i").alias("j"), distance("a", "b").cast("int").alias("d")).distinct()
+        found = a.join(b, on & (F.col("a.i") < F.col("b.i")) & (distance("a", "b") <= t))
+        return found.select(F.col("a.i").alias("i"), F.col("b.i").alias("j"), distance("a", "b").cast("int").alias("d")).distinct()
+    rows = _stored(rows.select(F.col("i").cast("long").alias("i"), whole.alias("whole")).where("i IS NOT NULL AND whole IS NOT NULL"))
+    parts = int(hashes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = rows.count()
+    # blocks of BLOCK rows at most; smaller ones if that gives some four pairs of blocks to each partition
+    n = max(-(-count // BLOCK), min(-(-count // LEAST_BLOCK), round((8 * parts) ** 0.5)), 1)
+    every = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = rows.withColumn("mine", F.pmod(F.xxhash64("i"), F.lit(n)).cast("int")).select("i", "whole", "mine", every.alias("other"))
+    dealt = dealt.select(F.least("mine", "other").alias("k"), F.greatest("mine", "other").alias("m"), "mine", "i", "whole")
+    # pairs of blocks by number, one after the other over the partitions
+    place = F.expr(f"pmod(m * (m + 1) div 2 + k, {parts})").cast("int")
+    dealt = dealt.repartitionById(parts, place).sortWithinPartitions("k", "m")
+    return dealt.mapInArrow(lambda it: _block_pairs(it, t), "i long, j long, d int").distinct()
 
 
 def _folder(spark: SparkSession) -> str:

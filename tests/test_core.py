@@ -305,6 +305,45 @@ def test_ordinal_and_wide_pairs(spark):
         assert {r.member: r.leader for r in dedup.near_leaders(df, t).collect()} == member
 
 
+def _built(df) -> int:
+    """Rows that the broadcasts of a finished plan hold."""
+    plan = df._jdf.queryExecution().executedPlan()
+    todo, rows = [plan], 0
+    while todo:
+        p = todo.pop()
+        name = p.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(p.executedPlan())
+        elif name.endswith("QueryStage"):
+            todo.append(p.plan())
+        else:
+            if name == "BroadcastExchange":
+                rows += p.metrics().apply("numOutputRows").value()
+            todo += [p.children().apply(k) for k in range(p.children().size())]
+    return rows
+
+
+@pytest.mark.parametrize("t", [14])
+def test_pairs_are_not_broadcast(spark, tmp_path, t):
+    """Small files whose rows are multiplied for the join: no side of it goes through the driver."""
+    spark.range(3000).selectExpr("id AS i", "crc32(CAST(id div 2 AS STRING)) ^ (id % 2) AS lo", "crc32(CAST(-(id div 2) AS STRING)) AS hi").write.parquet(str(tmp_path / "h"))
+    df = dedup.near_pairs(spark.read.parquet(str(tmp_path / "h")), t)
+    assert len(df.collect()) >= 1500 and _built(df) == 0
+
+
+def test_pairs_of_many_blocks(spark, monkeypatch):
+    """Blocks and tiles of a few rows, repeated and null ids and hashes: the pairs of brute force."""
+    monkeypatch.setattr(dedup, "LEAST_BLOCK", 16)
+    monkeypatch.setattr(dedup, "TILE", 8)
+    rng = np.random.default_rng(6)
+    h = [(k, int(a), int(b)) for k, (a, b) in enumerate(rng.integers(0, 1 << 32, (400, 2)))]
+    h += [(k + 400, a ^ 0x80000FFF, b ^ 0x80000000) for k, a, b in h[:50]] + [(3, 5, 6), (3, 5, 7), (4, 5, 7), (4, 5, 7)]
+    want = {(a[0], b[0], d) for a in h for b in h if a[0] < b[0] and (d := (a[1] ^ b[1]).bit_count() + (a[2] ^ b[2]).bit_count()) <= 14}
+    df = spark.createDataFrame([*h, (None, 5, 6), (900, None, 6), (901, 5, None)], "i long, lo long, hi long")
+    got = [tuple(r) for r in dedup.near_pairs(df, 14).collect()]
+    assert len(want) > 50 and sorted(got) == sorted(want)
+
+
 def test_label_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.txt").write_text("0 .5 .5 .1 .1\nbad\n")
