@@ -126,7 +126,8 @@ def near_pairs(hashes: DataFrame, t: int) -> DataFrame:
         a = rows.select("i", "lo", "hi", F.explode(own).alias("at")).select("i", "lo", "hi", "at.band", "at.value").alias("a")
         b = rows.select("i", "lo", "hi", F.explode(probes).alias("at")).select("i", "lo", "hi", "at.band", "at.value").alias("b")
         on = (F.col("a.band") == F.col("b.band")) & (F.col("a.value") == F.col("b.value"))
-        found = a.join(b, on & (F.col("a.i") < F.col("b.i")) & (distance("a", "b") <= t))
+        # sizes are estimated without the explosion, so that the planner would broadcast either side
+        found = a.join(b.hint("merge"), on & (F.col("a.i") < F.col("b.i")) & (distance("a", "b") <= t))
         return found.select(F.col("a.i").alias("i"), F.col("b.i").alias("j"), distance("a", "b").cast("int").alias("d")).distinct()
     rows = _stored(rows.select(F.col("i").cast("long").alias("i"), whole.alias("whole")).where("i IS NOT NULL AND whole IS NOT NULL"))
     parts = int(hashes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -179,19 +180,22 @@ def leader_groups(pairs: DataFrame) -> DataFrame:
     components. Rounds: undecided rows whose earlier neighbours are all decided
     lead, their undecided neighbours are absorbed; pairs of decided rows leave. A
     member's leader is its lowest adjacent leader.
+
+    The joins are sorted ones: the sides grow with the pairs, and their files are
+    too small for the planner's bound on broadcasts to hold the driver's memory.
     """
     pairs = _stored(pairs.select("i", "j"))
     open_, absorbed = pairs, None
     while not open_.isEmpty():
-        first = open_.select("i").distinct().join(open_.select(F.col("j").alias("i")).distinct(), "i", "left_anti")
-        hit = _stored(open_.join(first, "i", "left_semi").select(F.col("j").alias("i")).distinct())
+        first = open_.select("i").distinct().join(open_.select(F.col("j").alias("i")).distinct().hint("merge"), "i", "left_anti")
+        hit = _stored(open_.join(first.hint("merge"), "i", "left_semi").select(F.col("j").alias("i")).distinct())
         done = first.unionByName(hit)
-        left = _stored(open_.join(done, "i", "left_anti").join(hit.select(F.col("i").alias("j")), "j", "left_anti").select("i", "j"))
+        left = _stored(open_.join(done.hint("merge"), "i", "left_anti").join(hit.select(F.col("i").alias("j")).hint("merge"), "j", "left_anti").select("i", "j"))
         absorbed = hit if absorbed is None else absorbed.unionByName(hit)
         if open_ is not pairs:
             _forget(open_)
         open_ = left
-    led = pairs if absorbed is None else pairs.join(absorbed, "i", "left_anti")
+    led = pairs if absorbed is None else pairs.join(absorbed.hint("merge"), "i", "left_anti")
     return led.groupBy(F.col("j").alias("member")).agg(F.min("i").alias("leader")).select("leader", "member")
 
 
@@ -203,8 +207,8 @@ def near_leaders(hashes: DataFrame, t: int) -> DataFrame:
     """
     first = _stored(hashes.groupBy("lo", "hi").agg(F.min("i").alias("i"), F.count("*").alias("n")))
     near = _stored(leader_groups(near_pairs(first.select("i", "lo", "hi"), t)))
-    more = hashes.join(first.where("n > 1").select("lo", "hi", F.col("i").alias("rep")), ["lo", "hi"]).where("i <> rep").select("rep", F.col("i").alias("member"))
-    more = more.join(near.select("leader", F.col("member").alias("rep")), "rep", "left").select(F.coalesce("leader", "rep").alias("leader"), "member")
+    more = hashes.join(first.where("n > 1").select("lo", "hi", F.col("i").alias("rep")).hint("merge"), ["lo", "hi"]).where("i <> rep").select("rep", F.col("i").alias("member"))
+    more = more.join(near.select("leader", F.col("member").alias("rep")).hint("merge"), "rep", "left").select(F.coalesce("leader", "rep").alias("leader"), "member")
     return near.unionByName(more)
 
 

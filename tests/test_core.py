@@ -323,7 +323,7 @@ def _built(df) -> int:
     return rows
 
 
-@pytest.mark.parametrize("t", [14])
+@pytest.mark.parametrize("t", [8, 14])
 def test_pairs_are_not_broadcast(spark, tmp_path, t):
     """Small files whose rows are multiplied for the join: no side of it goes through the driver."""
     spark.range(3000).selectExpr("id AS i", "crc32(CAST(id div 2 AS STRING)) ^ (id % 2) AS lo", "crc32(CAST(-(id div 2) AS STRING)) AS hi").write.parquet(str(tmp_path / "h"))
