@@ -268,7 +268,11 @@ def near_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
     joined = linked(members, texts, similarity, code_sets)
     discard(members)
     discard(texts)
-    rows = some.select("id", "doc_id").distinct().join(joined, "id")
+    return _led(some.select("id", "doc_id").distinct().join(joined, "id"))
+
+
+def _led(rows: DataFrame) -> DataFrame:
+    """(key, keep_key, keep_id) of rows (id, doc_id, component_id): of each component the smallest doc_id leads."""
     lead = rows.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "id")).alias("lead"))
     return rows.join(lead, "component_id").select(F.col("id").alias("key"), F.col("lead.id").alias("keep_key"), F.col("lead.doc_id").alias("keep_id"))
 
@@ -287,9 +291,22 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     return found.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("component_id"), (alone | (F.col("key") == F.col("keep_key"))).alias("kept"))
 
 
+def all_near_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8) -> DataFrame:
+    """``near_rows`` by both kinds of links: those of ``simhash_near_dedup`` and those of five-word similarity.
+
+    SimHash links (four words, MAX_BITS) count as the operator gives them; MinHash
+    bands add the similar texts whose fingerprints lie further apart.
+    """
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), row_key(df).alias("id"), F.col(text_col).alias("text"))
+    hashed = simhash_near_dedup(docs.select("id", "text"), "id", "text", words=4).where("not kept").select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
+    similar = near_rows(df, id_col, text_col, similarity).where("key <> keep_key").select(F.col("key").alias("a"), F.col("keep_key").alias("b"))
+    joined = components(hashed.unionByName(similar))
+    return _led(docs.select("id", "doc_id").distinct().join(joined, "id"))
+
+
 def drop_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8) -> DataFrame:
-    """``df`` with one row of each component of ``near_rows``; rows that agree in all columns stay or go together."""
-    gone = near_rows(df, id_col, text_col, similarity).where("key <> keep_key").select(F.col("key").alias("_gone")).distinct()
+    """``df`` with one row of each component of ``all_near_rows``; rows that agree in all columns stay or go together."""
+    gone = all_near_rows(df, id_col, text_col, similarity).where("key <> keep_key").select(F.col("key").alias("_gone")).distinct()
     return df.join(gone, row_key(df) == F.col("_gone"), "left_anti")
 
 

@@ -80,3 +80,21 @@ def test_near_copies_at_the_bound(spark):
     got = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(data, "doc_id long, text string")).collect()}
     assert sum(got[a] == got[b] for a, b in pairs) >= 0.99 * len(pairs)
     assert all(got[i] in (i, i ^ 1) for i in got)
+
+
+def test_near_stage_follows_simhash(spark):
+    """Short copies with a word replaced, below a five-word similarity of 0.8 but within four bits: one of them stays."""
+    rng = np.random.default_rng(12)
+    data, close = [], []
+    while len(close) < 5:
+        words = [f"w{x}" for x in rng.integers(0, 5000, 42)]
+        other = [*words[:20], f"n{rng.integers(0, 5000)}", *words[21:]]
+        a, b = " ".join(words), " ".join(other)
+        if (simhash.fingerprint(a.encode(), 4) ^ simhash.fingerprint(b.encode(), 4)).bit_count() <= 4:
+            assert len(shingled(a) & shingled(b)) < 0.8 * len(shingled(a) | shingled(b))
+            close.append(len(data))
+            data += [(len(data), a), (len(data) + 1, b)]
+        else:
+            data.append((len(data), a))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_stage(spark, docs, SF).collect()} == set(range(len(data))) - {k + 1 for k in close}
