@@ -28,7 +28,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies (five words, 0.8), the one with the smallest id."""
+    """One row of each group of near copies, the one with the smallest id: SimHash links (four bits), and five-word similarity of 0.8."""
     return simhash.drop_near(docs)
 
 
