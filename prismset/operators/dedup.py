@@ -28,10 +28,12 @@ def first_of(df: DataFrame, key: Column, order: str) -> DataFrame:
     """``df`` with ``representative``, the lowest ``order`` of the row's key.
 
     A grouping with map-side sums and a join, not a window, so a key that very
-    many rows share is no single task's sort.
+    many rows share is no single task's sort. The join is a sorted one: there may
+    be as many keys as rows, and a size estimated from compressed files is no bound
+    on what a broadcast of them would take of the driver's memory.
     """
     keyed = df.withColumn("_key", key)
-    least = keyed.groupBy("_key").agg(F.min(order).alias("representative"))
+    least = keyed.groupBy("_key").agg(F.min(order).alias("representative")).hint("merge")
     return keyed.join(least, keyed._key.eqNullSafe(least._key)).drop("_key")
 
 

@@ -331,6 +331,17 @@ def test_pairs_are_not_broadcast(spark, tmp_path, t):
     assert len(df.collect()) >= 1500 and _built(df) == 0
 
 
+def test_report_broadcasts_its_counts_only(spark, tmp_path):
+    """Small files of many distinct texts, null ones too: nothing that grows with them goes through the driver."""
+    spark.range(3000).selectExpr("id AS doc_id", "IF(id % 1000 = 7, NULL, 'box ' || (id - IF(id % 5 = 4, 1, 0))) AS text").write.parquet(str(tmp_path / "documents.parquet"))
+    df = catalogue.QUERIES["dedup_report"](spark, str(tmp_path))
+    (got,) = df.collect()
+    assert (got.evaluated, got.exact) == (3000, 602) and _built(df) == 3
+    df = dedup.first_of(spark.read.parquet(str(tmp_path / "documents.parquet")), F.col("text"), "doc_id")
+    same = {r.doc_id: r.representative for r in df.collect()}
+    assert same == {k: 7 if k % 1000 == 7 else k - (k % 5 == 4) for k in range(3000)} and _built(df) == 0
+
+
 def test_pairs_of_many_blocks(spark, monkeypatch):
     """Blocks and tiles of a few rows, repeated and null ids and hashes: the pairs of brute force."""
     monkeypatch.setattr(dedup, "LEAST_BLOCK", 16)
